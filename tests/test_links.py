@@ -1,0 +1,72 @@
+"""Links out of page markup."""
+
+import pytest
+from frames import rows
+
+from velomart.sources.pages import extract_links
+
+
+def links(spark, html, tag="div", css_class="data list"):
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    return [(p, h) for _, p, h in rows(extract_links(pages, tag, css_class))]
+
+
+def test_items_of_the_first_list_of_the_container(spark):
+    html = """
+    <ul><li><a href="/outside">x</a></li></ul>
+    <div class="data"><ul><li><a href="/other">x</a></li></ul></div>
+    <div id="d" class="data list"><div><h2>Files</h2>
+      <ul class="plain">
+        <li><a href="/a.zip">A</a> <a href="/second">no</a></li>
+        <li>no link</li>
+        <li><a name="x">anchor</a><a target=_blank href='/b.zip'>B</a></li>
+      </ul></div>
+      <ul><li><a href="/later">x</a></li></ul>
+    </div>"""
+    assert links(spark, html) == [(0, "/a.zip"), (2, "/b.zip")]
+
+
+@pytest.mark.parametrize(
+    "anchor, href",
+    [
+        ('<A HREF="/up">x</A>', "/up"),
+        ("<a href = '/single'>x</a>", "/single"),
+        ("<a class=x href=/bare>x</a>", "/bare"),
+        ('<a\n  href="/line">x</a>', "/line"),
+        ('<a href="/q?a=1&amp;b=2">x</a>', "/q?a=1&b=2"),
+        ('<a href="/&amp;lt;">x</a>', "/&lt;"),
+        ('<a href="">x</a>', ""),
+        ('<a data-href="/no" href="/yes">x</a>', "/yes"),
+    ],
+)
+def test_attribute_spellings(spark, anchor, href):
+    html = f'<div class="data list"><ul><li>{anchor}</li></ul></div>'
+    assert links(spark, html) == [(0, href)]
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "",
+        None,
+        "<p>nothing</p>",
+        '<div class="data list">no list</div><ul><li><a href="/x">x</a></li></ul>',
+        '<!-- <div class="data list"><ul><li><a href="/x">x</a></li></ul></div> -->',
+        "<script>'<div class=\"data list\"><ul><li><a href=\"/x\">'</script></li></ul></div>",
+        '<div class="data list"><ul><li><abbr href="/x">x</abbr></li></ul></div>',
+        '<div class="data list more"><ul><li><a href="/x">x</a></li></ul></div>',
+    ],
+)
+def test_pages_without_links(spark, html):
+    assert links(spark, html) == []
+
+
+def test_container_by_tag_only(spark):
+    html = "<header><ul><li><a href='/no'>x</a></ul></header><nav><ul><li><a href='/y'>x</a></li></ul></nav>"
+    assert links(spark, html, "nav", None) == [(0, "/y")]
+
+
+def test_long_pages_are_read_whole(spark):
+    filler = "<p>text & more</p>" * 100_000
+    html = f'{filler}<div class="data list"><ul><li>{filler}<a href="/end">x</a></li></ul></div>'
+    assert links(spark, html) == [(0, "/end")]

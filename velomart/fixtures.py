@@ -25,32 +25,60 @@ PASS_TYPE = "MACHINERY"
 RECENT_FROM = "2001-01-01"
 
 
+# Stated, so that naming a table starts no job to look for its columns.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_type string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+        "o_orderdate timestamp_ntz"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_returnflag string, l_shipdate timestamp_ntz"
+    ),
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched trips.
+def _line_items_with_ends(
+    spark: SparkSession, sf_dir: str, nation: DataFrame | None = None
+) -> DataFrame:
+    """Line items with their order and customer.
 
-    Each half is completed before the two meet, so that the customer columns are
-    joined to the orders and not to the several times larger line items.
+    Customers are joined to the orders and not to the several times larger line
+    items, and all else is joined after these two have met, so that it is not
+    carried through their shuffle. Adaptive execution splits a hot order key there,
+    and broadcasts the orders instead where they turn out to be few.
     """
-    nation = table(spark, sf_dir, "nation")
-    ends = (
-        table(spark, sf_dir, "orders")
-        .join(
-            table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-        )
-        .join(
+    ends = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    if nation is not None:
+        ends = ends.join(
             nation.select(
                 F.col("n_nationkey").alias("c_nationkey"),
                 F.col("n_name").alias("end_station_name"),
             ),
             "c_nationkey",
         )
+    return table(spark, sf_dir, "lineitem").join(
+        ends, F.col("l_orderkey") == F.col("o_orderkey")
     )
-    starts = (
-        table(spark, sf_dir, "lineitem")
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched trips."""
+    nation = table(spark, sf_dir, "nation")
+    return (
+        _line_items_with_ends(spark, sf_dir, nation)
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(
             nation.select(
@@ -60,20 +88,20 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             "s_nationkey",
         )
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    )
-    return starts.join(ends, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        _trip_id(),
-        _duration(),
-        F.col("o_orderdate").cast("date").alias("start_station_time"),
-        F.col("l_shipdate").cast("date").alias("end_station_time"),
-        F.col("s_nationkey").alias("start_station"),
-        "start_station_name",
-        F.col("c_nationkey").alias("end_station"),
-        "end_station_name",
-        F.col("l_partkey").alias("bike_id"),
-        F.col("p_type").alias("bike_type"),
-        F.col("c_mktsegment").alias("passholder_type"),
-        _category(),
+        .select(
+            _trip_id(),
+            _duration(),
+            F.col("o_orderdate").cast("date").alias("start_station_time"),
+            F.col("l_shipdate").cast("date").alias("end_station_time"),
+            F.col("s_nationkey").alias("start_station"),
+            "start_station_name",
+            F.col("c_nationkey").alias("end_station"),
+            "end_station_name",
+            F.col("l_partkey").alias("bike_id"),
+            F.col("p_type").alias("bike_type"),
+            F.col("c_mktsegment").alias("passholder_type"),
+            _category(),
+        )
     )
 
 
@@ -113,16 +141,13 @@ def mixed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fifteen columns of a trip file, plus the ``quarter`` it belongs to."""
     key = F.col("l_orderkey")
-    ends = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
-    starts = (
-        table(spark, sf_dir, "lineitem")
+    start = F.col("o_orderdate")
+    joined = (
+        _line_items_with_ends(spark, sf_dir)
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
-    start = F.col("o_orderdate")
-    return starts.join(ends, key == F.col("o_orderkey")).select(
+    return joined.select(
         _trip_id(),
         _duration(),
         _time_text(start, key).alias("start_time"),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velomart import workspace
+from velomart.operators.lookup import lookup_join, measured
+
 PAIR = ("start_station_name", "end_station_name")
 
 
@@ -24,6 +27,11 @@ def duration_counts(trips: DataFrame) -> DataFrame:
     )
 
 
+def written_counts(trips: DataFrame) -> DataFrame:
+    """:func:`duration_counts`, computed once and written."""
+    return workspace.materialize(duration_counts(trips), "duration-counts")
+
+
 def average_from_counts(counts: DataFrame) -> DataFrame:
     """Same as :func:`pair_average`, from the counts instead of the trips."""
     known = F.when(F.col("duration").isNotNull(), F.col("n"))
@@ -38,24 +46,20 @@ def shares_around_average(counts: DataFrame) -> DataFrame:
     """Per bike type: trips below, and at or above, their pair's average.
 
     All trips of the type are in ``total``: also those without a duration and
-    those without a station name, which are neither below nor above.
+    those without a station name, which are neither below nor above. ``counts``
+    is read three times and should be a written table.
     """
-    pair = Window.partitionBy(*PAIR)
-    known = F.when(F.col("duration").isNotNull(), F.col("n"))
-    average = F.try_divide(
-        F.sum(F.col("duration") * F.col("n")).over(pair).cast("double"),
-        F.sum(known).over(pair),
-    )
-    named = F.col(PAIR[0]).isNotNull() & F.col(PAIR[1]).isNotNull()
-    return (
-        counts.withColumn("avg", F.when(named, average))
+    named = counts.dropna(subset=list(PAIR))
+    average = measured(average_from_counts(named), "pair-averages")
+    around = (
+        lookup_join(named, average, PAIR)
         .groupBy("bike_type")
         .agg(
             F.sum(F.when(F.col("duration") < F.col("avg"), F.col("n"))).alias("below"),
             F.sum(F.when(F.col("duration") >= F.col("avg"), F.col("n"))).alias(
                 "not_below"
             ),
-            F.sum("n").alias("total"),
         )
-        .filter(F.col("bike_type").isNotNull())
     )
+    total = counts.groupBy("bike_type").agg(F.sum("n").alias("total"))
+    return around.join(total, "bike_type")

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from velomart import workspace
-from velomart.operators.pairs import average_from_counts, duration_counts
+from velomart.operators.pairs import average_from_counts, written_counts
 from velomart.plans.reports import MONTHLY_PASS, REPORTS
 from velomart.sinks.reports import Sink
 
@@ -18,7 +17,7 @@ def run_all(
     ``trips`` should be a landed mart, as each report scans it. The pair
     reports share one table of duration counts, computed and written once.
     """
-    counts = workspace.materialize(duration_counts(trips), "duration-counts")
+    counts = written_counts(trips)
     extra = {
         "r3": {"pass_type": pass_type},
         "r13": {"averages": average_from_counts(counts)},

@@ -17,10 +17,9 @@ from velomart.operators.filters import at_max, at_min
 from velomart.operators.lookup import lookup_join, measured
 from velomart.operators.pairs import (
     PAIR,
-    average_from_counts,
-    duration_counts,
     pair_average,
     shares_around_average,
+    written_counts,
 )
 
 # Fixed value: the pass the station ranking is about.
@@ -181,7 +180,7 @@ def delay_percentage(
     all trips of the type, so the two percentages need not add up to 100.
     """
     if counts is None:
-        counts = duration_counts(trips)
+        counts = written_counts(trips)
     return _percentage(counts, "below", "delay_percentage")
 
 
@@ -190,7 +189,7 @@ def good_percentage(
 ) -> DataFrame:
     """Per bike type, the share of trips at or above their pair's average."""
     if counts is None:
-        counts = duration_counts(trips)
+        counts = written_counts(trips)
     return _percentage(counts, "not_below", "good_percentage")
 
 
