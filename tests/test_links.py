@@ -1,11 +1,119 @@
 """Links out of page markup."""
 
+import random
+from html.parser import HTMLParser
+
 import pytest
 from frames import rows
 
 from velomart.sources.pages import extract_links
 
 
+class Tree(HTMLParser):
+    """A page as nested [tag, attributes, children]; a closing tag closes all
+    elements opened since its own, and is ignored without one."""
+
+    def __init__(self, html):
+        super().__init__()
+        self.root = ["", {}, []]
+        self.open = [self.root]
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, dict(attrs), []]
+        self.open[-1][2].append(node)
+        if tag != "br":
+            self.open.append(node)
+
+    def handle_endtag(self, tag):
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth][0] == tag:
+                del self.open[depth:]
+                return
+
+
+def below(node):
+    for child in node[2]:
+        yield child
+        yield from below(child)
+
+
+def by_tree(html):
+    """Position and link of each item, by walking the tree."""
+    container = next(
+        (n for n in below(Tree(html).root) if n[0] == "div" and n[1].get("class") == "data list"),
+        None,
+    )
+    found = container and next((n for n in below(container) if n[0] == "ul"), None)
+    items = [n for n in below(found) if n[0] == "li"] if found else []
+    links = [next((a for a in below(i) if a[0] == "a" and "href" in a[1]), None) for i in items]
+    return [(pos, a[1]["href"]) for pos, a in enumerate(links) if a]
+
+
+def random_page(rng):
+    number = iter(range(10_000))
+
+    def part(depth):
+        kind = rng.choice(["ul", "ul", "div", "text", "a", "br"] if depth else ["text", "a"])
+        if kind == "ul":
+            inner = "".join(
+                f"<li>{parts(depth - 1)}</li>" for _ in range(rng.randrange(4))
+            )
+            return f"<ul class=x>\n{inner} </ul>"
+        if kind == "div":
+            return f"<div>{parts(depth - 1)}</div>"
+        if kind == "a":
+            attribute = rng.choice(["href", "name"])
+            return f'<a {attribute}="/{next(number)}">x < y</a>'
+        return "<br>" if kind == "br" else "some &amp; text"
+
+    def parts(depth):
+        return "".join(part(depth) for _ in range(rng.randrange(4)))
+
+    return f'{parts(3)}<div class="data list">{parts(4)}</div>{parts(3)}'
+
+
+def test_nested_pages_equal_a_tree_walk(spark):
+    rng = random.Random(7)
+    pages = [(i, random_page(rng)) for i in range(1500)]
+    df = spark.createDataFrame(pages, "page_id long, html string")
+    expected = sorted((i, pos, href) for i, html in pages for pos, href in by_tree(html))
+    got = extract_links(df, "div", "data list")
+    assert sorted(map(tuple, got.collect())) == expected
+    assert len(expected) > 1000
+
+
+def test_items_that_are_not_closed(spark):
+    html = (
+        '<div class="data list"><ul><li>2021<li><a href="/1">x</a>'
+        '<li><a href="/2">x</a><li>none</ul><a href="/out">x</a></div>'
+    )
+    assert links(spark, html) == by_tree(html) == [(0, "/1"), (1, "/1"), (2, "/2")]
+
+
+def test_container_that_is_not_closed(spark):
+    html = '<div class="data list"><div><ul><li><a href="/1">x</a></li>'
+    assert links(spark, html) == by_tree(html) == [(0, "/1")]
+
+
+@pytest.mark.parametrize(
+    "css_class, attribute, found",
+    [
+        ("data", 'class="data"', True),
+        ("data", "class=data", True),
+        ("data", 'id=1 class="some data list"', True),
+        ("data", 'class="database"', False),
+        ("data", 'data-class="data"', False),
+        ("data list", 'class="data  list"', True),
+        ("data list", 'class="list data"', False),
+    ],
+)
+def test_container_class(spark, css_class, attribute, found):
+    html = f'<div {attribute}><ul><li><a href="/x">x</a></li></ul></div>'
+    assert links(spark, html, "div", css_class) == ([(0, "/x")] if found else [])
+
+
 def links(spark, html, tag="div", css_class="data list"):
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
     return [(p, h) for _, p, h in rows(extract_links(pages, tag, css_class))]

@@ -11,8 +11,33 @@ from pyspark.sql import functions as F
 _OPAQUE = (
     r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 )
-_LIST = r"(?is)<ul\b[^>]*>(.*?)</ul\s*>"
-_ITEM = r"(?is)<li\b[^>]*>(.*?)</li\s*>"
+
+# How many elements of one kind may lie inside each other.
+_DEPTH = 16
+
+
+def _opening(tag: str) -> str:
+    return rf"<{re.escape(tag)}(?=[\s/>])[^>]*>"
+
+
+def _element(tag: str, opening: str) -> str:
+    """Pattern of an element, from a given opening tag to the closing tag that
+    belongs to it, or to the end of the text where there is none. Group 1 is what
+    is inside. Possessive, so that long pages are matched without backtracking.
+    """
+    name = re.escape(tag)
+    other = rf"(?:[^<]++|<(?!/?{name}[\s/>]))*+"
+    inside = other
+    for _ in range(_DEPTH):
+        inside = rf"{other}(?:{_opening(tag)}{inside}</{name}\s*>{other})*+"
+    return rf"(?is){opening}({inside}(?=</{name}\s*>|\z)|.*)"
+
+
+_LIST = _element("ul", _opening("ul"))
+_ITEM = _element("li", "^" + _opening("li"))
+_ITEM_START = r"(?i)(?=<li[\s/>])"
+_ITEM_ALONE = rf"(?is)^{_opening('li')}(.*?)(?:</li\s*>|\z)"
+_ITEM_END = r"(?i)</li\s*>"
 _ANCHOR = (
     r"(?is)<a(?=\s)[^>]*?\shref\s*=\s*"
     r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
@@ -29,22 +54,43 @@ _REFERENCES = (
 )
 
 
+def _with_class(tag: str, css_class: str) -> str:
+    """Opening tag whose class attribute is, or has among others, ``css_class``."""
+    wanted = r"\s+".join(re.escape(c) for c in css_class.split())
+    if len(css_class.split()) == 1:
+        wanted = rf"(?:[^\"']*\s)?{wanted}(?:\s[^\"']*)?"
+    return (
+        rf"<{re.escape(tag)}(?=\s)[^>]*?\sclass\s*=\s*"
+        rf"""(?:["']\s*{wanted}\s*["']|{wanted}(?=[\s>]))[^>]*>"""
+    )
+
+
 def list_items(html: Column, tag: str, css_class: str | None = None) -> Column:
     """Inner text of each ``li`` of the first ``ul`` of the first container.
 
-    The container is the first ``tag`` element, with exactly ``css_class`` as
-    its class attribute if one is given. Regular expressions do not count
-    depth: lists nested in that list are outside what this reads.
+    The container is the first ``tag`` element, of class ``css_class`` if one is
+    given: one class among several, or several in that order. Items of lists
+    nested in the list are items too, after the item that holds them.
     """
-    opening = rf"<{re.escape(tag)}\b[^>]*>"
-    if css_class is not None:
-        wanted = re.escape(css_class)
-        opening = rf"""<{re.escape(tag)}\b[^>]*\sclass\s*=\s*["']{wanted}["'][^>]*>"""
-    container = rf"(?is){opening}(.*?)</{re.escape(tag)}\s*>"
+    opening = _opening(tag) if css_class is None else _with_class(tag, css_class)
     visible = F.regexp_replace(html, _OPAQUE, "")
-    inside = F.regexp_extract(visible, container, 1)
-    first_list = F.regexp_extract(inside, _LIST, 1)
-    return F.regexp_extract_all(first_list, F.lit(_ITEM), 1)
+    inside = F.regexp_extract(visible, _element(tag, opening), 1)
+    pieces = F.filter(
+        F.split(F.regexp_extract(inside, _LIST, 1), _ITEM_START),
+        lambda piece: F.rlike(piece, F.lit("^" + _ITEM_START)),
+    )
+
+    def item(piece: Column, position: Column) -> Column:
+        # Most items end, or have their link, before the next one starts.
+        alone = F.regexp_extract(piece, _ITEM_ALONE, 1)
+        rest = F.array_join(
+            F.slice(pieces, position + 1, F.size(pieces) - position), ""
+        )
+        return F.when(
+            has_link(alone) | F.rlike(piece, F.lit(_ITEM_END)), alone
+        ).otherwise(F.regexp_extract(rest, _ITEM, 1))
+
+    return F.transform(pieces, item)
 
 
 def has_link(item: Column) -> Column:
