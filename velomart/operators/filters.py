@@ -9,21 +9,25 @@ from pyspark.sql import functions as F
 
 
 def at_extreme(
-    df: DataFrame, column: str, extreme: Callable[[Column], Column]
+    df: DataFrame,
+    column: str,
+    extreme: Callable[[Column], Column],
+    of: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose ``column`` equals its overall maximum (``F.max``) or minimum.
 
     An uncorrelated scalar subquery: it reads that one column, and its value is
     then pushed into the scan of the rest, where row groups that cannot hold it
-    are skipped.
+    are skipped. ``of`` is a smaller table to take the value from, if there is one
+    that holds the same values.
     """
-    bound = df.agg(extreme(F.col(column))).scalar()
+    bound = (df if of is None else of).agg(extreme(F.col(column))).scalar()
     return df.filter(F.col(column) == bound)
 
 
-def at_max(df: DataFrame, column: str) -> DataFrame:
-    return at_extreme(df, column, F.max)
+def at_max(df: DataFrame, column: str, of: DataFrame | None = None) -> DataFrame:
+    return at_extreme(df, column, F.max, of)
 
 
-def at_min(df: DataFrame, column: str) -> DataFrame:
-    return at_extreme(df, column, F.min)
+def at_min(df: DataFrame, column: str, of: DataFrame | None = None) -> DataFrame:
+    return at_extreme(df, column, F.min, of)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velomart import workspace
-from velomart.operators.lookup import lookup_join, measured
+from velomart.operators.lookup import Lookup, lookup_join, measured
 
 PAIR = ("start_station_name", "end_station_name")
 
@@ -42,17 +42,24 @@ def average_from_counts(counts: DataFrame) -> DataFrame:
     )
 
 
-def shares_around_average(counts: DataFrame) -> DataFrame:
+def written_averages(averages: DataFrame) -> Lookup:
+    """Averages of the pairs with two names, written and measured."""
+    return measured(averages.dropna(subset=list(PAIR)), "pair-averages")
+
+
+def shares_around_average(
+    counts: DataFrame, averages: Lookup | None = None
+) -> DataFrame:
     """Per bike type: trips below, and at or above, their pair's average.
 
     All trips of the type are in ``total``: also those without a duration and
     those without a station name, which are neither below nor above. ``counts``
-    is read three times and should be a written table.
+    is read more than once and should be a written table.
     """
-    named = counts.dropna(subset=list(PAIR))
-    average = measured(average_from_counts(named), "pair-averages")
+    if averages is None:
+        averages = written_averages(average_from_counts(counts))
     around = (
-        lookup_join(named, average, PAIR)
+        lookup_join(counts.dropna(subset=list(PAIR)), averages, PAIR)
         .groupBy("bike_type")
         .agg(
             F.sum(F.when(F.col("duration") < F.col("avg"), F.col("n"))).alias("below"),

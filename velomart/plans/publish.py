@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from velomart.operators.pairs import average_from_counts, written_counts
+from velomart.operators.pairs import (
+    average_from_counts,
+    shares_around_average,
+    written_averages,
+    written_counts,
+)
 from velomart.plans.reports import MONTHLY_PASS, REPORTS
 from velomart.sinks.reports import Sink
+from velomart.workspace import materialize
 
 
 def run_all(
@@ -14,16 +21,27 @@ def run_all(
 ) -> dict[str, str]:
     """Hand every report to ``sink``; returns report key -> table name.
 
-    ``trips`` should be a landed mart, as each report scans it. The pair
-    reports share one table of duration counts, computed and written once.
+    ``trips`` should be a landed mart, as it is scanned once per report. One table
+    of duration counts, written first, stands in for it where its columns will
+    do: there a row is many trips.
     """
     counts = written_counts(trips)
-    extra = {
+    averages = written_averages(average_from_counts(counts))
+    shares = materialize(shares_around_average(counts, averages), "shares")
+    summed = counts.withColumn("duration", F.col("duration") * F.col("n"))
+    instead = {"r8": summed, "r12": counts}
+    options = {
         "r3": {"pass_type": pass_type},
-        "r13": {"averages": average_from_counts(counts)},
-        "r14": {"counts": counts},
-        "r15": {"counts": counts},
+        "r4": {"counts": counts},
+        "r9": {"counts": counts},
+        "r10": {"counts": counts},
+        "r13": {"averages": averages},
+        "r14": {"shares": shares},
+        "r15": {"shares": shares},
     }
     for key, report in REPORTS.items():
-        sink(report.table, report.build(trips, **extra.get(key, {})))
+        sink(
+            report.table,
+            report.build(instead.get(key, trips), **options.get(key, {})),
+        )
     return {key: report.table for key, report in REPORTS.items()}

@@ -1,7 +1,9 @@
 """The sixteen reports over enriched trips.
 
 Every report is a function from a DataFrame to a DataFrame. A result carries no
-order of its own unless it is a top-k; ``preview`` sorts for reading.
+order of its own unless it is a top-k; ``preview`` sorts for reading. What a report
+takes besides the trips (``counts``, ``averages``, ``shares``) it makes itself
+unless the caller has it already.
 """
 
 from __future__ import annotations
@@ -14,11 +16,12 @@ from pyspark.sql import functions as F
 
 from velomart.functions.dates import trip_month
 from velomart.operators.filters import at_max, at_min
-from velomart.operators.lookup import lookup_join, measured
+from velomart.operators.lookup import Lookup, lookup_join
 from velomart.operators.pairs import (
     PAIR,
     pair_average,
     shares_around_average,
+    written_averages,
     written_counts,
 )
 
@@ -75,10 +78,12 @@ def pass_trips_by_station(
     )
 
 
-def stations_of_longest_rides(trips: DataFrame, k: int = 5) -> DataFrame:
+def stations_of_longest_rides(
+    trips: DataFrame, k: int = 5, counts: DataFrame | None = None
+) -> DataFrame:
     """Start stations with the most rides of the overall longest duration."""
     return (
-        at_max(trips, "duration")
+        at_max(trips, "duration", counts)
         .groupBy("start_station", "start_station_name")
         .agg(F.count("trip_id").alias("No_of_LongDuration_ride"))
         .orderBy(
@@ -121,12 +126,16 @@ def _details(trips: DataFrame, k: int) -> DataFrame:
     return trips.select(*DETAIL).distinct().orderBy(*_ascending(*DETAIL)).limit(k)
 
 
-def longest_ride_details(trips: DataFrame, k: int = 5) -> DataFrame:
-    return _details(at_max(trips, "duration"), k)
+def longest_ride_details(
+    trips: DataFrame, k: int = 5, counts: DataFrame | None = None
+) -> DataFrame:
+    return _details(at_max(trips, "duration", counts), k)
 
 
-def shortest_ride_details(trips: DataFrame, k: int = 5) -> DataFrame:
-    return _details(at_min(trips, "duration"), k)
+def shortest_ride_details(
+    trips: DataFrame, k: int = 5, counts: DataFrame | None = None
+) -> DataFrame:
+    return _details(at_min(trips, "duration", counts), k)
 
 
 def station_bike_types(trips: DataFrame, k: int = 10) -> DataFrame:
@@ -147,7 +156,7 @@ def bike_types_between_stations(trips: DataFrame) -> DataFrame:
 
 
 def trips_with_pair_average(
-    trips: DataFrame, averages: DataFrame | None = None
+    trips: DataFrame, averages: Lookup | None = None
 ) -> DataFrame:
     """Every trip with the average duration of its pair of station names.
 
@@ -155,42 +164,34 @@ def trips_with_pair_average(
     to the trips. Trips without a station name are left out.
     """
     if averages is None:
-        averages = pair_average(trips)
+        averages = written_averages(pair_average(trips))
     return lookup_join(
-        trips.select(*PAIR, "duration", "bike_type"),
-        measured(averages.dropna(subset=list(PAIR)), "pair-averages"),
-        PAIR,
+        trips.select(*PAIR, "duration", "bike_type"), averages, PAIR
     ).select(*PAIR, "avg", "duration", "bike_type")
 
 
-def _percentage(counts: DataFrame, part: str, name: str) -> DataFrame:
-    return (
-        shares_around_average(counts)
-        .filter(F.col(part).isNotNull())
-        .select("bike_type", (F.col(part) * 100 / F.col("total")).alias(name))
+def _percentage(
+    trips: DataFrame, shares: DataFrame | None, part: str, name: str
+) -> DataFrame:
+    if shares is None:
+        shares = shares_around_average(written_counts(trips))
+    return shares.filter(F.col(part).isNotNull()).select(
+        "bike_type", (F.col(part) * 100 / F.col("total")).alias(name)
     )
 
 
-def delay_percentage(
-    trips: DataFrame | None, counts: DataFrame | None = None
-) -> DataFrame:
+def delay_percentage(trips: DataFrame, shares: DataFrame | None = None) -> DataFrame:
     """Per bike type, the share of trips *shorter* than their pair's average.
 
     The name says delay, the definition is the established one. The share is of
     all trips of the type, so the two percentages need not add up to 100.
     """
-    if counts is None:
-        counts = written_counts(trips)
-    return _percentage(counts, "below", "delay_percentage")
+    return _percentage(trips, shares, "below", "delay_percentage")
 
 
-def good_percentage(
-    trips: DataFrame | None, counts: DataFrame | None = None
-) -> DataFrame:
+def good_percentage(trips: DataFrame, shares: DataFrame | None = None) -> DataFrame:
     """Per bike type, the share of trips at or above their pair's average."""
-    if counts is None:
-        counts = written_counts(trips)
-    return _percentage(counts, "not_below", "good_percentage")
+    return _percentage(trips, shares, "not_below", "good_percentage")
 
 
 def shortest_per_pair(trips: DataFrame) -> DataFrame:
