@@ -2,13 +2,16 @@
 
 import io
 import zipfile
+from datetime import date
 
 import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
+from velomart.__main__ import main
 from velomart.functions.names import file_kind, last_segment
 from velomart.plans.mart import build_mart_from_folder
+from velomart.plans.reports import REPORTS
 from velomart.schema import STATION_FILE, TRIP_FILE
 from velomart.sources import archives
 from velomart.sources.archives import archive_lines, read_archives
@@ -139,6 +142,28 @@ def test_mart_from_one_folder(spark, folder):
     assert mart.filter("start_station_time is null").count() == 0
 
 
+def test_job_from_folder_to_reports(spark, folder, tmp_path, capsys):
+    main(
+        [
+            *("--folder", str(folder), "--recent", "trips-2021-q1.csv"),
+            *("--mart", str(tmp_path / "mart"), "--reports", str(tmp_path / "out")),
+        ]
+    )
+    assert capsys.readouterr().out.splitlines()[0] == "r1 total_users_per_month"
+
+    def report(key):
+        return rows(spark.read.parquet(str(tmp_path / "out" / REPORTS[key].table)))
+
+    assert report("r1") == [
+        (date(2018, 1, 1), 1),
+        (date(2018, 12, 1), 1),
+        (date(2021, 1, 1), 1),
+    ]
+    assert report("r4") == [(1, "Main", 1)]
+    assert report("r8") == [("electric", 129)]
+    assert report("r14") == [("electric", 200 / 3)]
+
+
 def zipped(**members):
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:

@@ -18,16 +18,17 @@ from pyspark.sql import types as T
 
 from velomart import workspace
 
-# Measured bytes of a side that every executor may hold; a hashed relation takes
-# a few times that in memory.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# Measured bytes of a side that every executor may hold. The measure counts what a
+# hashed relation keeps per row, so this is about the memory it takes.
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 # A key with more than this share of the fact is hot. There can be no more than
 # 1 / HOT_SHARE such keys, which bounds the table of them that is broadcast.
 HOT_SHARE = 1e-5
 
-# Bytes counted per row besides its text: object overhead and 8 per column.
-_ROW_BYTES = 32
+# Bytes counted per row besides its text and 8 per column: the record's header
+# and its place in a half-full hash table.
+_ROW_BYTES = 48
 
 
 @dataclass(frozen=True)

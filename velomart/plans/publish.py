@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velomart.operators.pairs import (
@@ -11,8 +13,11 @@ from velomart.operators.pairs import (
     written_averages,
     written_counts,
 )
+from velomart.plans.mart import build_mart_from_folder
 from velomart.plans.reports import MONTHLY_PASS, REPORTS
+from velomart.sinks.mart import write_mart
 from velomart.sinks.reports import Sink
+from velomart.sources.mart import read_mart
 from velomart.workspace import materialize
 
 
@@ -45,3 +50,22 @@ def run_all(
             report.build(instead.get(key, trips), **options.get(key, {})),
         )
     return {key: report.table for key, report in REPORTS.items()}
+
+
+def publish_folder(
+    spark: SparkSession,
+    folder: str,
+    recent_files: Sequence[str],
+    mart: str,
+    sink: Sink,
+    pass_type: str = MONTHLY_PASS,
+    station_header: bool = False,
+) -> dict[str, str]:
+    """From a folder of trip and station files to all reports.
+
+    The files are parsed and joined once, into the mart; the reports read that.
+    """
+    write_mart(
+        build_mart_from_folder(spark, folder, recent_files, station_header), mart
+    )
+    return run_all(read_mart(spark, mart), sink, pass_type)
