@@ -47,26 +47,26 @@ def written_averages(averages: DataFrame) -> Lookup:
     return measured(averages.dropna(subset=list(PAIR)), "pair-averages")
 
 
-def shares_around_average(
-    counts: DataFrame, averages: Lookup | None = None
-) -> DataFrame:
+def shares_around_average(counts: DataFrame) -> DataFrame:
     """Per bike type: trips below, and at or above, their pair's average.
 
     All trips of the type are in ``total``: also those without a duration and
-    those without a station name, which are neither below nor above. ``counts``
-    is read more than once and should be a written table.
+    those without a station name, which are neither below nor above.
+
+    ``counts`` is read twice and should be a written table. Spark knows the size
+    of one, so it broadcasts the averages where that is small; where it is not,
+    what is shuffled are counts and not trips.
     """
-    if averages is None:
-        averages = written_averages(average_from_counts(counts))
-    around = (
-        lookup_join(counts.dropna(subset=list(PAIR)), averages, PAIR)
+    averages = average_from_counts(counts.dropna(subset=list(PAIR)))
+    return (
+        counts.join(averages, list(PAIR), "left")
         .groupBy("bike_type")
         .agg(
             F.sum(F.when(F.col("duration") < F.col("avg"), F.col("n"))).alias("below"),
             F.sum(F.when(F.col("duration") >= F.col("avg"), F.col("n"))).alias(
                 "not_below"
             ),
+            F.sum("n").alias("total"),
         )
+        .filter(F.col("bike_type").isNotNull())
     )
-    total = counts.groupBy("bike_type").agg(F.sum("n").alias("total"))
-    return around.join(total, "bike_type")

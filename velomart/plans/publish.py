@@ -32,7 +32,7 @@ def run_all(
     """
     counts = written_counts(trips)
     averages = written_averages(average_from_counts(counts))
-    shares = materialize(shares_around_average(counts, averages), "shares")
+    shares = materialize(shares_around_average(counts), "shares")
     summed = counts.withColumn("duration", F.col("duration") * F.col("n"))
     instead = {"r8": summed, "r12": counts}
     options = {
