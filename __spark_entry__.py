@@ -136,7 +136,7 @@ def queries() -> dict[str, Query]:
     return {
         **reports,
         "pair_shares": _over_trips(
-            lambda t: pairs.shares_around_average(pairs.written_counts(t)).select(
+            lambda t: pairs.shares_around_average(t).select(
                 "bike_type",
                 (F.col("below") * 100 / F.col("total")).alias("delay_percentage"),
                 (F.col("not_below") * 100 / F.col("total")).alias("good_percentage"),

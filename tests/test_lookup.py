@@ -37,6 +37,19 @@ def test_equals_brute_force(spark, limit, hot_share):
     assert rows(got) == brute(fact, table)
 
 
+@pytest.mark.parametrize("limit", [lookup.BROADCAST_BYTES, 0])
+def test_left_join_keeps_unmatched_and_null_keys(spark, limit):
+    fact, table = skewed(spark), keys(spark)
+    got = lookup_join(fact, measured(table), ["k"], limit, 0.02, how="left")
+    assert rows(got) == rows(fact.join(table, "k", "left"))
+    assert got.filter("k is null").count() == 100
+
+
+def test_other_joins_are_refused(spark):
+    with pytest.raises(ValueError):
+        lookup_join(skewed(spark), measured(keys(spark)), ["k"], how="full")
+
+
 def test_two_keys(spark):
     fact = spark.range(500).select(
         (F.col("id") % 3).alias("a"), (F.col("id") % 5).alias("b"), "id"
@@ -46,8 +59,9 @@ def test_two_keys(spark):
     )
     expected = rows(fact.join(table, ["a", "b"]))
     for limit in (lookup.BROADCAST_BYTES, 0):
-        got = lookup_join(fact, measured(table), ["a", "b"], limit, 0.02)
-        assert rows(got) == expected
+        for how in ("inner", "left"):
+            got = lookup_join(fact, measured(table), ["a", "b"], limit, 0.02, how)
+            assert rows(got) == expected
 
 
 @pytest.mark.parametrize("limit", [lookup.BROADCAST_BYTES, -1])

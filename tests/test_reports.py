@@ -1,5 +1,6 @@
 """Report semantics on hand-written trips, and equal forms against each other."""
 
+import re
 from datetime import date
 
 import pytest
@@ -8,13 +9,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from velomart import fixtures
+from velomart.operators import lookup
 from velomart.operators.filters import at_max, at_min
-from velomart.operators.pairs import (
-    PAIR,
-    average_from_counts,
-    duration_counts,
-    pair_average,
-)
+from velomart.operators.lookup import Lookup
+from velomart.operators.pairs import PAIR, shares_around_average, written_averages
 from velomart.plans import reports
 from velomart.plans.publish import run_all
 from velomart.plans.reports import REPORTS, preview
@@ -127,11 +125,6 @@ def test_shares_count_all_trips_of_the_type(spark):
     assert rows(reports.good_percentage(df)) == [("e", 25.0), ("s", 100.0)]
 
 
-def test_counts_give_the_same_averages(spark):
-    df = fixtures.trips(spark, SF_DIR)
-    assert rows(average_from_counts(duration_counts(df))) == rows(pair_average(df))
-
-
 def test_join_form_equals_window_form(spark):
     df = fixtures.trips(spark, SF_DIR)
     window = df.filter(
@@ -160,6 +153,19 @@ def test_one_pass_shares_equal_separate_counts(spark):
     assert rows(reports.good_percentage(df)) == rows(share("duration >= avg"))
 
 
+def test_shares_are_the_same_without_broadcast(spark):
+    df = fixtures.trips(spark, SF_DIR).withColumn(
+        "start_station_name",
+        F.when(F.col("trip_id") % 5 != 0, F.col("start_station_name")),
+    )
+    expected = rows(shares_around_average(df))
+    averages = written_averages(df)
+    too_large = Lookup(averages.df, averages.rows, lookup.BROADCAST_BYTES + 1)
+    assert rows(shares_around_average(df, too_large)) == expected
+    with_average = rows(reports.trips_with_pair_average(df, averages))
+    assert rows(reports.trips_with_pair_average(df, too_large)) == with_average
+
+
 def test_shortest_trip_of_each_pair(spark):
     df = trips(
         spark,
@@ -239,6 +245,11 @@ def test_plans_over_the_mart(spark):
     assert "BroadcastHashJoin Inner BuildRight" in average
     assert "hashpartitioning" not in average
 
+    # Nor are they for the shares: only sums per bike type are.
+    shares = plan(reports.delay_percentage(mart))
+    assert "BroadcastHashJoin LeftOuter BuildRight" in shares
+    assert set(re.findall(r"hashpartitioning\((\w+)#", shares)) == {"bike_type"}
+
     one_month = plan(
         reports.trips_per_month(mart.filter("month_year = date '1998-01-01'"))
     )

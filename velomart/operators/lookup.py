@@ -1,4 +1,4 @@
-"""Inner joins of a large fact to a lookup whose size is measured first.
+"""Joins of a large fact to a lookup whose size is measured first.
 
 Spark estimates an aggregate to be about as large as its input, so left alone it
 would shuffle the whole fact to meet a lookup of a few thousand rows. The size is
@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -68,58 +70,63 @@ def lookup_join(
     on: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner equi-join; columns of the fact first, then those of the lookup.
+    """Inner or left equi-join; columns of the fact first, then those of the lookup.
 
     A key that the lookup holds twice doubles its fact rows. NULL keys match
     nothing.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     if lookup.bytes <= broadcast_bytes:
-        joined = fact.join(F.broadcast(lookup.df), list(on))
+        joined = fact.join(F.broadcast(lookup.df), list(on), how)
     else:
-        joined = _spread_join(fact, lookup.df, list(on), hot_share)
+        joined = _spread_join(fact, lookup.df, list(on), hot_share, how)
     added = [c for c in lookup.df.columns if c not in on]
     return joined.select(*fact.columns, *added)
 
 
 def _spread_join(
-    fact: DataFrame, lookup: DataFrame, on: list[str], hot_share: float
+    fact: DataFrame, lookup: DataFrame, on: list[str], hot_share: float, how: str
 ) -> DataFrame:
     """Shuffle join in which each hot key of the fact is split into parts.
 
     The lookup rows of a hot key are repeated once per part, so every fact row
     still meets all of them, exactly once. The part of a row depends on its
     content and its partition: it is the same again if the task is rerun, and
-    equal rows of different partitions do not all land in one part.
+    equal rows of different partitions do not all land in one part. Rows with a
+    NULL key meet nothing and are simply spread.
     """
-    fact = fact.dropna(subset=on)
+    if how == "inner":
+        fact = fact.dropna(subset=on)
     counts = workspace.materialize(
-        fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), "key-counts"
+        fact.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")),
+        "key-counts",
     )
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     part_rows = max(1.0, total * hot_share)
     hot = F.broadcast(
         counts.filter(F.col("_n") > part_rows).select(
-            *on, F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts")
+            *on, F.ceil(F.col("_n") / part_rows).alias("_parts")
         )
     )
     content = F.xxhash64(F.spark_partition_id(), *fact.columns)
-    spread = (
-        fact.join(hot, on, "left")
-        .withColumn("_part", F.coalesce(F.pmod(content, F.col("_parts")), F.lit(0)))
-        .drop("_parts")
+    has_null = reduce(or_, (F.col(key).isNull() for key in on))
+    spread = fact.join(hot, on, "left").withColumn(
+        "_part",
+        F.when(has_null, content)
+        .when(F.col("_parts").isNotNull(), F.pmod(content, F.col("_parts")))
+        .otherwise(F.lit(0)),
     )
+    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
     repeated = (
-        lookup.join(hot, on, "left")
-        .withColumn(
-            "_part",
-            F.explode(
-                F.sequence(
-                    F.lit(0).cast("long"),
-                    F.coalesce(F.col("_parts"), F.lit(1)).cast("long") - 1,
-                )
-            ),
-        )
-        .drop("_parts")
+        lookup.dropna(subset=on)
+        .join(hot, on, "left")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    )
+    return (
+        spread.drop("_parts")
+        .join(repeated.drop("_parts"), [*on, "_part"], how)
+        .drop("_part")
     )
-    return spread.join(repeated, [*on, "_part"]).drop("_part")

@@ -1,72 +1,60 @@
-"""Durations of station pairs."""
+"""Durations of station pairs.
+
+Tasks combine the trips of a pair before anything is shuffled, so a pair that
+holds a third of all trips costs no more than another. What comes out is small
+next to the trips and is sent to them: the trips themselves are not moved.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velomart import workspace
 from velomart.operators.lookup import Lookup, lookup_join, measured
 
 PAIR = ("start_station_name", "end_station_name")
 
 
-def pair_average(trips: DataFrame) -> DataFrame:
-    """Average duration of each pair of station names."""
-    return trips.groupBy(*PAIR).agg(F.avg("duration").alias("avg"))
-
-
-def duration_counts(trips: DataFrame) -> DataFrame:
-    """Number of trips ``n`` per station pair, bike type and duration.
-
-    Tasks combine before the shuffle, so a pair that holds a third of all trips
-    arrives as no more rows than it has types and distinct durations.
-    """
-    return trips.groupBy(*PAIR, "bike_type", "duration").agg(
-        F.count(F.lit(1)).alias("n")
+def pair_durations(trips: DataFrame) -> DataFrame:
+    """Average, least and greatest duration of each pair of station names."""
+    return trips.groupBy(*PAIR).agg(
+        F.avg("duration").alias("avg"),
+        F.min("duration").alias("least"),
+        F.max("duration").alias("greatest"),
     )
 
 
-def written_counts(trips: DataFrame) -> DataFrame:
-    """:func:`duration_counts`, computed once and written."""
-    return workspace.materialize(duration_counts(trips), "duration-counts")
+def averages_of(durations: Lookup) -> Lookup:
+    """The averages among written pair durations."""
+    return Lookup(durations.df.select(*PAIR, "avg"), durations.rows, durations.bytes)
 
 
-def average_from_counts(counts: DataFrame) -> DataFrame:
-    """Same as :func:`pair_average`, from the counts instead of the trips."""
-    known = F.when(F.col("duration").isNotNull(), F.col("n"))
-    return counts.groupBy(*PAIR).agg(
-        F.try_divide(
-            F.sum(F.col("duration") * F.col("n")).cast("double"), F.sum(known)
-        ).alias("avg")
+def written_averages(trips: DataFrame) -> Lookup:
+    """Average duration of each pair, written and measured."""
+    return measured(
+        trips.groupBy(*PAIR).agg(F.avg("duration").alias("avg")), "pair-averages"
     )
 
 
-def written_averages(averages: DataFrame) -> Lookup:
-    """Averages of the pairs with two names, written and measured."""
-    return measured(averages.dropna(subset=list(PAIR)), "pair-averages")
-
-
-def shares_around_average(counts: DataFrame) -> DataFrame:
+def shares_around_average(
+    trips: DataFrame, averages: Lookup | None = None
+) -> DataFrame:
     """Per bike type: trips below, and at or above, their pair's average.
 
     All trips of the type are in ``total``: also those without a duration and
     those without a station name, which are neither below nor above.
-
-    ``counts`` is read twice and should be a written table. Spark knows the size
-    of one, so it broadcasts the averages where that is small; where it is not,
-    what is shuffled are counts and not trips.
     """
-    averages = average_from_counts(counts.dropna(subset=list(PAIR)))
+    if averages is None:
+        averages = written_averages(trips)
     return (
-        counts.join(averages, list(PAIR), "left")
+        lookup_join(
+            trips.select(*PAIR, "duration", "bike_type"), averages, PAIR, how="left"
+        )
         .groupBy("bike_type")
         .agg(
-            F.sum(F.when(F.col("duration") < F.col("avg"), F.col("n"))).alias("below"),
-            F.sum(F.when(F.col("duration") >= F.col("avg"), F.col("n"))).alias(
-                "not_below"
-            ),
-            F.sum("n").alias("total"),
+            F.sum(F.when(F.col("duration") < F.col("avg"), 1)).alias("below"),
+            F.sum(F.when(F.col("duration") >= F.col("avg"), 1)).alias("not_below"),
+            F.count(F.lit(1)).alias("total"),
         )
         .filter(F.col("bike_type").isNotNull())
     )

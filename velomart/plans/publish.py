@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velomart.operators.lookup import measured
 from velomart.operators.pairs import (
-    average_from_counts,
+    averages_of,
+    pair_durations,
     shares_around_average,
-    written_averages,
-    written_counts,
 )
 from velomart.plans.mart import build_mart_from_folder
 from velomart.plans.reports import MONTHLY_PASS, REPORTS
@@ -26,29 +26,26 @@ def run_all(
 ) -> dict[str, str]:
     """Hand every report to ``sink``; returns report key -> table name.
 
-    ``trips`` should be a landed mart, as it is scanned once per report. One table
-    of duration counts, written first, stands in for it where its columns will
-    do: there a row is many trips.
+    ``trips`` should be a landed mart, as each report scans it. What several of
+    them need is written first: the durations of the station pairs, which also
+    hold the overall extremes, and the shares around their averages.
     """
-    counts = written_counts(trips)
-    averages = written_averages(average_from_counts(counts))
-    shares = materialize(shares_around_average(counts), "shares")
-    summed = counts.withColumn("duration", F.col("duration") * F.col("n"))
-    instead = {"r8": summed, "r12": counts}
+    durations = measured(pair_durations(trips), "pair-durations")
+    averages = averages_of(durations)
+    shares = materialize(shares_around_average(trips, averages), "shares")
+    longest = durations.df.select(F.col("greatest").alias("duration"))
+    shortest = durations.df.select(F.col("least").alias("duration"))
     options = {
         "r3": {"pass_type": pass_type},
-        "r4": {"counts": counts},
-        "r9": {"counts": counts},
-        "r10": {"counts": counts},
+        "r4": {"durations": longest},
+        "r9": {"durations": longest},
+        "r10": {"durations": shortest},
         "r13": {"averages": averages},
         "r14": {"shares": shares},
         "r15": {"shares": shares},
     }
     for key, report in REPORTS.items():
-        sink(
-            report.table,
-            report.build(instead.get(key, trips), **options.get(key, {})),
-        )
+        sink(report.table, report.build(trips, **options.get(key, {})))
     return {key: report.table for key, report in REPORTS.items()}
 
 

@@ -2,7 +2,7 @@
 
 Every report is a function from a DataFrame to a DataFrame. A result carries no
 order of its own unless it is a top-k; ``preview`` sorts for reading. What a report
-takes besides the trips (``counts``, ``averages``, ``shares``) it makes itself
+takes besides the trips (``durations``, ``averages``, ``shares``) it makes itself
 unless the caller has it already.
 """
 
@@ -19,10 +19,8 @@ from velomart.operators.filters import at_max, at_min
 from velomart.operators.lookup import Lookup, lookup_join
 from velomart.operators.pairs import (
     PAIR,
-    pair_average,
     shares_around_average,
     written_averages,
-    written_counts,
 )
 
 # Fixed value: the pass the station ranking is about.
@@ -79,11 +77,11 @@ def pass_trips_by_station(
 
 
 def stations_of_longest_rides(
-    trips: DataFrame, k: int = 5, counts: DataFrame | None = None
+    trips: DataFrame, k: int = 5, durations: DataFrame | None = None
 ) -> DataFrame:
     """Start stations with the most rides of the overall longest duration."""
     return (
-        at_max(trips, "duration", counts)
+        at_max(trips, "duration", durations)
         .groupBy("start_station", "start_station_name")
         .agg(F.count("trip_id").alias("No_of_LongDuration_ride"))
         .orderBy(
@@ -127,15 +125,15 @@ def _details(trips: DataFrame, k: int) -> DataFrame:
 
 
 def longest_ride_details(
-    trips: DataFrame, k: int = 5, counts: DataFrame | None = None
+    trips: DataFrame, k: int = 5, durations: DataFrame | None = None
 ) -> DataFrame:
-    return _details(at_max(trips, "duration", counts), k)
+    return _details(at_max(trips, "duration", durations), k)
 
 
 def shortest_ride_details(
-    trips: DataFrame, k: int = 5, counts: DataFrame | None = None
+    trips: DataFrame, k: int = 5, durations: DataFrame | None = None
 ) -> DataFrame:
-    return _details(at_min(trips, "duration", counts), k)
+    return _details(at_min(trips, "duration", durations), k)
 
 
 def station_bike_types(trips: DataFrame, k: int = 10) -> DataFrame:
@@ -164,7 +162,7 @@ def trips_with_pair_average(
     to the trips. Trips without a station name are left out.
     """
     if averages is None:
-        averages = written_averages(pair_average(trips))
+        averages = written_averages(trips)
     return lookup_join(
         trips.select(*PAIR, "duration", "bike_type"), averages, PAIR
     ).select(*PAIR, "avg", "duration", "bike_type")
@@ -174,7 +172,7 @@ def _percentage(
     trips: DataFrame, shares: DataFrame | None, part: str, name: str
 ) -> DataFrame:
     if shares is None:
-        shares = shares_around_average(written_counts(trips))
+        shares = shares_around_average(trips)
     return shares.filter(F.col(part).isNotNull()).select(
         "bike_type", (F.col(part) * 100 / F.col("total")).alias(name)
     )
