@@ -9,6 +9,7 @@ from velomart.functions.dates import mixed_date
 from velomart.operators.lookup import (
     BROADCAST_BYTES,
     HOT_SHARE,
+    Lookup,
     lookup_join,
     measured,
 )
@@ -67,7 +68,7 @@ def join_stations(
         )
         trips = lookup_join(
             trips,
-            type(names)(in_role, names.rows, names.bytes),
+            Lookup(in_role, names.rows, names.bytes),
             [f"{role}_station"],
             broadcast_bytes,
             hot_share,
