@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velomart.llm.text import mapped, strings
+from velomart.llm.text import batch_of, mapped, slices, strings, to_arrow
 
 WINDOW = 24
 UNDEFINED = "und"
@@ -197,44 +197,73 @@ def fit(docs: DataFrame, documents: int = 128, per_document: int = 40, hidden: i
     return network
 
 
+class Predictor:
+    """The network with the outputs of windows that a task has met."""
+
+    def __init__(self, network: BiGRU):
+        self.network, self.kept = network, {}
+        self.known = np.zeros((1 << 12, len(network.labels)), np.float32)
+
+    def shares(self, texts: list[str]) -> np.ndarray:
+        """For each text the sum of its positions' distributions."""
+        own = [windows(t) for t in texts]
+        flat = list(chain.from_iterable(own))
+        new = set(flat).difference(self.kept)
+        if len(self.kept) + len(new) > KEPT:
+            self.kept.clear()
+            new = set(flat)
+        if new:
+            new, n = list(new), len(self.kept)
+            if n + len(new) > len(self.known):
+                grown = np.zeros((2 * (n + len(new)), self.known.shape[1]), np.float32)
+                grown[:n] = self.known[:n]
+                self.known = grown
+            self.known[n : n + len(new)] = self.network.pooled(new)
+            self.kept.update(zip(new, range(n, n + len(new))))
+        index = np.fromiter(map(self.kept.__getitem__, flat), np.int64, len(flat))
+        sums = np.zeros((len(flat) + 1, self.known.shape[1]))
+        np.cumsum(self.known[index], axis=0, dtype=np.float64, out=sums[1:])
+        at = np.cumsum([0, *map(len, own)])
+        return sums[at[1:]] - sums[at[:-1]]
+
+    def __call__(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        share = self.shares(texts)
+        pred, score = [UNDEFINED] * len(texts), np.zeros(len(texts))
+        total, best = share.sum(1), share.argmax(1)
+        for i in np.flatnonzero(total > 0):
+            if has_letter(texts[i]):
+                pred[i] = self.network.labels[best[i]]
+                score[i] = min(1.0, max(0.0, share[i, best[i]] / total[i]))
+        return pred, score
+
+
+def _nothing(texts: list[str]) -> tuple[list[str], np.ndarray]:
+    return [UNDEFINED] * len(texts), np.zeros(len(texts))
+
+
 def predict(docs: DataFrame, network: BiGRU | None) -> DataFrame:
     """doc_id, lang_pred and score (the mean share of that language over all positions)."""
+    schema = "doc_id long, lang_pred string, score double"
 
-    kept: dict[bytes, int] = {}
-    known: list[np.ndarray] = []
+    def run(batches):
+        predictor, arrow = Predictor(network) if network else _nothing, to_arrow(schema)
+        for batch in slices(batches):
+            pred, score = predictor(strings(batch.column("text")))
+            yield batch_of({"doc_id": batch.column("doc_id"), "lang_pred": pred, "score": score}, arrow)
 
-    def each(batch: pa.RecordBatch):
-        texts = strings(batch.column("text"))
-        n = len(texts)
-        pred, score = [UNDEFINED] * n, np.zeros(n)
-        if network is not None:
-            own = [windows(t) for t in texts]
-            flat = list(chain.from_iterable(own))
-            new = set(flat).difference(kept)
-            if len(kept) + len(new) > KEPT:
-                kept.clear()
-                known.clear()
-                new = set(flat)
-            if new:
-                new = list(new)
-                kept.update(zip(new, range(len(kept), len(kept) + len(new))))
-                known[:] = [np.concatenate([*known, network.pooled(new)])]
-            index = np.fromiter(map(kept.__getitem__, flat), np.int64, len(flat))
-            sums = np.zeros((len(flat) + 1, len(network.labels)))
-            if len(flat):
-                np.cumsum(known[0][index], axis=0, dtype=np.float64, out=sums[1:])
-            at = np.cumsum([0, *map(len, own)])
-            share = sums[at[1:]] - sums[at[:-1]]
-            total = share.sum(1)
-            best = share.argmax(1)
-            for i in np.flatnonzero(total > 0):
-                if has_letter(texts[i]):
-                    pred[i] = network.labels[best[i]]
-                    score[i] = min(1.0, max(0.0, share[i, best[i]] / total[i]))
-        yield {c: batch.column(c) for c in batch.schema.names if c != "text"} | {"lang_pred": pred, "score": score}
-
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return mapped(docs, "doc_id long, lang_pred string, score double", each)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+
+
+def keep_known(docs: DataFrame, network: BiGRU | None, least: float) -> DataFrame:
+    """The rows, all columns, whose text has a language with a score of at least ``least``."""
+
+    def run(batches):
+        predictor = Predictor(network) if network else _nothing
+        for batch in slices(batches):
+            pred, score = predictor(strings(batch.column("text")))
+            yield batch.filter(pa.array([p != UNDEFINED and s >= least for p, s in zip(pred, score)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def held_out(remainder: int, modulus: int):

@@ -2,8 +2,9 @@
 
 Every document gets simple counts. Random trees, grown on a bounded sample of labelled
 rows, cut the space of these counts at random values; unusual documents are cut off
-after few steps. The score above which a document is rejected comes from all labelled
-rows: the lowest that rejects at most ``good_lost`` of those of good quality.
+after few steps. The score from which a document is rejected comes from all labelled
+rows: of those that reject at most ``good_lost`` of the good ones, the one that tells good
+from bad best.
 
 Rows: null and empty text have no words, so ``base_failed`` holds. Rows that share a
 doc_id are scored each on their own text. Without labelled rows of both kinds nothing
@@ -144,7 +145,7 @@ def score(stats: DataFrame, forest: IsolationForest) -> DataFrame:
 
 
 def threshold(scored: DataFrame, labels: DataFrame, good_lost: float, bins: int = 2000) -> float:
-    """From counts of all labelled rows by bin of the score: the least one that spares the good."""
+    """From counts of all labelled rows by bin of the score: the best one that spares the good."""
     known = scored.join(labels.where("quality is not null").select("doc_id", "quality"), "doc_id")
     rows = known.groupBy(F.floor(F.col("score") * bins).alias("bin"), "quality").count().collect()
     good, junk = np.zeros(bins + 1), np.zeros(bins + 1)
@@ -152,12 +153,13 @@ def threshold(scored: DataFrame, labels: DataFrame, good_lost: float, bins: int
         (good if r["quality"] == 1 else junk)[r["bin"]] += r["count"]
     if not good.sum() or not junk.sum():
         return float("inf")
-    lost = good[::-1].cumsum()[::-1] / good.sum()
-    return float(np.flatnonzero(np.append(lost, 0) <= good_lost)[0]) / bins
+    lost = np.append(good[::-1].cumsum()[::-1] / good.sum(), 0)
+    caught = np.append(junk[::-1].cumsum()[::-1] / junk.sum(), 0)
+    return float(np.argmax(np.where(lost <= good_lost, caught - lost, -1))) / bins
 
 
 def quality_rules(
-    docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, junk_share: float = 0.03, good_lost: float = 0.003
+    docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, junk_share: float = 0.02, good_lost: float = 0.02
 ) -> DataFrame:
     """Base rules and the forest's verdict for each document.
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from velomart.llm import (
+    chains,
     langid,
     lexicon,
     licenses,
@@ -16,6 +17,7 @@ from velomart.llm import (
     simple8b,
     tokens,
     toxicity,
+    trie_join,
 )
 from velomart.llm.text import table
 
@@ -32,7 +34,9 @@ def queries() -> dict[str, Query]:
         "op3_token_output": lambda s, d: simple8b.token_output(docs(s, d), vocabulary()),
         "op4_language_id": lambda s, d: langid.identify(docs(s, d)),
         "op5_bpe_lexicon": lambda s, d: lexicon.encode_decode(docs(s, d), vocabulary()),
+        "op6_ngram_jaccard_join": lambda s, d: trie_join.jaccard_join(docs(s, d)),
         "op7_best_fit_packing": lambda s, d: packing.pack(docs(s, d), vocabulary()),
+        "op8_substring_dedup": lambda s, d: chains.repeated_passages(docs(s, d)),
         "op9_document_fingerprints": lambda s, d: omh.fingerprints(docs(s, d)),
         "op10_toxicity": lambda s, d: toxicity.toxicity(docs(s, d), labels(s, d)),
     }

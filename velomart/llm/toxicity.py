@@ -59,10 +59,10 @@ def fold(text: str) -> str:
     return f" {' '.join(text.lower().translate(FOLD).split())} "
 
 
-def terms(text: str) -> set[str]:
-    """Terms of a folded text."""
+def terms(words: set[str]) -> set[str]:
+    """Terms of folded words."""
     found: set[str] = set()
-    for word in set(text.split()):
+    for word in words:
         own = f" {word} "
         for k in GRAMS:
             found.update([own[i : i + k] for i in range(len(own) - k + 1)])
@@ -107,11 +107,16 @@ def learnable(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> Dat
 
 
 def lexicon(sample: DataFrame, least_docs: int, least_weight: float, size: int) -> dict[str, float]:
-    """Terms that mark toxic texts of the sample, with their weights."""
+    """Terms that mark toxic texts of the sample, with their weights.
+
+    In toxic texts a word counts once in the same company (the words beside it), so that
+    a passage that is copied does not make its rare words look toxic. A term's count is
+    taken lower by its own uncertainty before it is weighed.
+    """
     schema = "term string, toxic long, clean long"
 
     def run(batches):
-        arrow, found = to_arrow(schema), (Counter(), Counter())
+        arrow, found, company = to_arrow(schema), (Counter(), Counter()), set()
 
         def counted():
             both = list(found[0].keys() | found[1].keys())
@@ -119,7 +124,12 @@ def lexicon(sample: DataFrame, least_docs: int, least_weight: float, size: int)
 
         for batch in slices(batches):
             for toxic, text in zip(batch.column("toxic").to_pylist(), strings(batch.column("text"))):
-                found[toxic].update(terms(fold(text)))
+                words = fold(text).split()
+                if toxic:
+                    beside = [hash(x) for x in zip(["", *words], words, [*words[1:], ""])]
+                    words, beside = [w for w, x in zip(words, beside) if x not in company], beside
+                    company.update(beside)
+                found[toxic].update(terms(set(words)))
                 if len(found[0]) + len(found[1]) > COUNTED:
                     yield counted()
                     found = (Counter(), Counter())
@@ -128,9 +138,11 @@ def lexicon(sample: DataFrame, least_docs: int, least_weight: float, size: int)
     totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(totals) < 2:
         return {}
-    weight = F.log((F.col("toxic") + 0.5) / (totals[1] + 1)) - F.log((F.col("clean") + 0.5) / (totals[0] + 1))
+    least_docs = max(least_docs, math.ceil(0.004 * totals[1]))
+    sure = F.col("toxic") - F.sqrt("toxic")
+    weight = F.log((sure + 0.5) / (totals[1] + 1)) - F.log((F.col("clean") + 0.5) / (totals[0] + 1))
     rows = (
-        sample.select("toxic", "text").mapInArrow(run, schema)
+        sample.select("toxic", "text").coalesce(4).mapInArrow(run, schema)
         .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where(F.col("toxic") >= least_docs)
         .withColumn("weight", weight)
@@ -213,6 +225,21 @@ def score(docs: DataFrame, model) -> DataFrame:
     return features(docs, weights).select("doc_id", (1 / (1 + F.exp(-line))).alias("score"))
 
 
+def keep_clean(docs: DataFrame, model) -> DataFrame:
+    """The rows, all columns, of a score under a half."""
+    if not model:
+        return docs
+    weights, w = model
+
+    def run(batches):
+        matcher = Matcher(weights)
+        for batch in slices(batches):
+            made = np.array([matcher.features(t) for t in strings(batch.column("text"))])
+            yield batch.filter(pa.array(probability(made, w) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Learn from labelled rows that are not held out and score all: doc_id, held_out, score, predicted."""
     from velomart.llm.langid import held_out
