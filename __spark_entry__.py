@@ -23,6 +23,14 @@ from velomart.sources.pages import extract_links
 from velomart.sources.trips import classify_files, read_stations, read_trips
 from velomart.workspace import fresh_path
 
+try:
+    import corpus_pipeline
+    import velomart.llm.queries as llm
+except ModuleNotFoundError as missing:  # the subpackage may be left out as a whole
+    if missing.name not in ("corpus_pipeline", "velomart.llm", "velomart.llm.queries"):
+        raise
+    llm = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -131,6 +139,11 @@ def _run_all(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
+    more = {**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}
+    return {**_own_queries(), **more}
+
+
+def _own_queries() -> dict[str, Query]:
     reports = {key: _report(key) for key in REPORTS}
     reports["r3"] = _report("r3", pass_type=fixtures.PASS_TYPE)
     return {
@@ -358,7 +371,11 @@ from trips group by 1,2""",
 
 
 def oracle_sql() -> dict[str, str]:
-    """For each query, SQL that gives the same rows from the same tables."""
+    """For each query that SQL can express, SQL that gives the same rows from the same tables."""
+    return {**_own_sql(), **(llm.oracle_sql() if llm else {})}
+
+
+def _own_sql() -> dict[str, str]:
     over_trips = {
         **_report_sql(),
         "pair_shares": """select bike_type, n_lt*100/total as delay_percentage,
