@@ -16,11 +16,12 @@ def components(links: DataFrame) -> DataFrame:
     round is written to the shared folder, so a lost executor costs that round at most.
     """
     now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    now = materialize(now, "links")
     mark = None
     while True:
         now = materialize(_hang_smaller(_hang_larger(now)), "round")
         stars = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(stars) == mark:
+        if tuple(stars) == mark or not stars[0]:
             break
         mark = tuple(stars)
     own = now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))

@@ -13,8 +13,11 @@ Only reachability is asked for, so sets known to be linked are not compared agai
 1. Equal sets are one class from the start.
 2. Each class meets the first class of every n-gram that both hold; what links becomes
    one component. Groups of near copies collapse here, in work linear in their rows.
-3. Where an n-gram still joins different components, all its classes meet, in cells by
-   size; a cell of over ``CELL`` classes is cut into blocks, and each two blocks meet.
+3. Where an n-gram still joins different components, all its classes meet by what their
+   first n-grams share, in cells by size: c shared ones allow c + max(n - p) in all, p
+   being how many first n-grams there are. This leaves few components that could link.
+4. The classes of such components meet with their whole sets.
+A cell of over ``CELL`` classes or ``CELL_GRAMS`` n-grams is cut into blocks, and each two blocks meet.
 Links are exact up to collisions of 64-bit hashes.
 
 Rows: null or blank text has an empty set, links with nothing and is its own component.
@@ -37,6 +40,8 @@ from velomart.workspace import materialize
 
 #: Classes that meet in one tree, and n-grams that a task counts at a time.
 CELL = 400
+#: N-grams of the whole sets that meet in one tree.
+CELL_GRAMS = 4_000_000
 COUNTED = 4_000_000
 #: Counts within such a portion from which an n-gram counts as frequent, and how many of them are put last.
 FREQUENT, LISTED = 8, 1 << 18
@@ -85,77 +90,90 @@ class Order:
 
 
 class Node:
-    __slots__ = ("segment", "children", "ends", "least", "most", "label")
+    __slots__ = ("segment", "children", "ends", "longest", "least", "rest", "label")
 
     def __init__(self, segment: np.ndarray):
         self.segment, self.children, self.ends = segment, [], []
 
 
 class Trie:
-    """Sets as ascending numbers; paths without a branch are one node."""
+    """Sets, or the first parts of sets, as ascending numbers; paths without a branch are one node.
 
-    def __init__(self, sets: list[np.ndarray], labels: list[int]):
-        self.sets, self.labels = sets, labels
-        self.root = Node(np.zeros(0, np.int64))
-        order = sorted(range(len(sets)), key=lambda i: sets[i].tolist())
-        self._fill(self.root, order, 0)
+    ``sizes`` are those of the whole sets, ``rests`` how much of each is not in the tree.
+    """
 
-    def _fill(self, root: Node, order: list[int], depth: int) -> None:
-        stack = [(root, order, depth)]
-        made = [root]
+    def __init__(self, sets: list[np.ndarray], labels: list[int], sizes: list[int], rests: list[int]):
+        self.sets, self.labels, self.sizes, self.rests = sets, labels, sizes, rests
+        self.root = Node(np.zeros(0, np.int64))
+        stack = [(self.root, sorted(range(len(sets)), key=lambda i: sets[i].tolist()), 0)]
         while stack:
             node, own, depth = stack.pop()
-            node.least, node.most = min(len(self.sets[i]) for i in own), max(len(self.sets[i]) for i in own)
-            labels = {self.labels[i] for i in own}
-            node.label = labels.pop() if len(labels) == 1 else None
-            node.ends = [i for i in own if len(self.sets[i]) == depth]
-            rest = [i for i in own if len(self.sets[i]) > depth]
+            node.longest = max(len(sets[i]) for i in own)
+            node.least, node.rest = min(sizes[i] for i in own), max(rests[i] for i in own)
+            found = {labels[i] for i in own}
+            node.label = found.pop() if len(found) == 1 else None
+            node.ends = [i for i in own if len(sets[i]) == depth]
+            own = [i for i in own if len(sets[i]) > depth]
             at = 0
-            while at < len(rest):
-                first = self.sets[rest[at]][depth]
-                stop = at
-                while stop < len(rest) and self.sets[rest[stop]][depth] == first:
+            while at < len(own):
+                first, stop = sets[own[at]][depth], at
+                while stop < len(own) and sets[own[stop]][depth] == first:
                     stop += 1
-                a, b = self.sets[rest[at]][depth:], self.sets[rest[stop - 1]][depth:]
+                a, b = sets[own[at]][depth:], sets[own[stop - 1]][depth:]
                 n = min(len(a), len(b))
                 differ = np.flatnonzero(a[:n] != b[:n])
                 n = int(differ[0]) if len(differ) else n
                 child = Node(a[:n])
                 node.children.append(child)
-                made.append(child)
-                stack.append((child, rest[at:stop], depth + n))
+                stack.append((child, own[at:stop], depth + n))
                 at = stop
 
     def similar(self, i: int, inside: np.ndarray, num: int, den: int):
-        """Sets of another label with den * |x & y| >= num * |x | y|."""
-        x = self.sets[i]
-        lx = len(x)
+        """Sets of another label that may have den * |x & y| >= num * |x | y|; whole sets do have it."""
+        x, n, rest, label = self.sets[i], self.sizes[i], self.rests[i], self.labels[i]
         stack = [(self.root, 0, 0)]
         while stack:
             node, shared, depth = stack.pop()
-            if node.label is not None and node.label == self.labels[i]:
+            if node.label is not None and node.label == label:
                 continue
             used = 0
             if len(node.segment):
                 shared += int(np.count_nonzero(inside[node.segment]))
                 depth += len(node.segment)
                 used = int(np.searchsorted(x, node.segment[-1], "right"))
-            best = min(max(depth + lx - used, node.least), node.most)
-            if (num + den) * (shared + min(lx - used, best - depth)) < num * (lx + best):
+            reach = shared + min(len(x) - used, node.longest - depth) + max(rest, node.rest)
+            if (num + den) * reach < num * (n + node.least):
                 continue
             for j in node.ends:
-                if self.labels[j] != self.labels[i] and (num + den) * shared >= num * (lx + len(self.sets[j])):
+                if self.labels[j] != label and (num + den) * (shared + max(rest, self.rests[j])) >= num * (n + self.sizes[j]):
                     yield j
             stack += [(c, shared, depth) for c in node.children]
 
 
-def tree_links(ids: list[int], labels: list[int], sets: list[np.ndarray], order: Order, num: int, den: int) -> list[tuple[int, int]]:
-    """Links that join sets of different labels; enough of them to reach whatever all links reach."""
+def tree_links(
+    ids: list[int], labels: list[int], sets: list[np.ndarray], order: Order, num: int, den: int, sizes: list[int] | None = None
+) -> list[tuple[int, int]]:
+    """Links that join sets of different labels; enough of them to reach whatever all links reach.
+
+    With ``sizes``, ``sets`` are those of their first n-grams that others hold too, and
+    the links are the ones that are still possible.
+    """
     if len(set(labels)) < 2:
         return []
-    grams = np.unique(np.concatenate(sets))
+    rests = [0 if sizes is None else -(-num * n // den) - 1 for n in sizes or ids]
+    grams, held = np.unique(np.concatenate(sets), return_counts=True)
     rank = np.empty(len(grams), np.int64)
     rank[np.searchsorted(grams, order.sort(grams))] = np.arange(len(grams))
+    if sizes is None:  # whole sets: the rarest among these first, so that what differs is met at once
+        by_count = np.lexsort((rank, held))
+        rank[by_count] = np.arange(len(grams))
+        few = min(map(len, sets))
+        own = [int((held[np.searchsorted(grams, s)] > 1).sum()) for s in sets]
+        could = [i for i, n in enumerate(own) if (num + den) * n >= num * (len(sets[i]) + few)]
+        ids, labels, sets = ([x[i] for i in could] for x in (ids, labels, sets))
+        if len(set(labels)) < 2:
+            return []
+        rests = [0] * len(ids)
     ranked = [np.sort(rank[np.searchsorted(grams, s)]) for s in sets]
     parent = {x: x for x in labels}
 
@@ -164,7 +182,7 @@ def tree_links(ids: list[int], labels: list[int], sets: list[np.ndarray], order:
             parent[x] = x = parent[parent[x]]
         return x
 
-    trie = Trie(ranked, labels)
+    trie = Trie(ranked, labels, sizes or [len(s) for s in sets], rests)
     inside = np.zeros(len(grams), bool)
     links = []
     for i, own in enumerate(ranked):
@@ -226,27 +244,35 @@ def _prefixes(docs: DataFrame, k: int, order, num: int, den: int) -> DataFrame:
     return mapped(docs.select("text"), "gram long, class long, n long", each)
 
 
-def _meet(rows: DataFrame, texts: DataFrame, k: int, order, num: int, den: int) -> DataFrame:
-    """Links within each ``cell`` of rows (cell, class, label)."""
+def _meet(rows: DataFrame, order, num: int, den: int, k: int) -> DataFrame:
+    """Links within each ``cell`` of rows (cell, class, label, and text or size and grams)."""
     schema = "a long, b long"
+    whole = "text" in rows.columns
+    names = ["cell", "class", "label", "text"] if whole else ["cell", "class", "label", "n", "grams"]
 
     def run(batches):
         arrow = to_arrow(schema)
-        cell, ids, labels, sets, found = None, [], [], [], []
+        cell, own, found = None, [], []
 
         def close():
-            return tree_links(ids, labels, sets, order.value, num, den) if len(ids) > 1 else []
-
-        for batch in slices(batches):
-            own = ngram_sets(batch.column("text"), k)
-            for c, i, label, s in zip(batch.column("cell").to_pylist(), batch.column("class").to_pylist(), batch.column("label").to_pylist(), own):
+            if len(own) < 2:
+                return []
+            ids, labels, sets, sizes = zip(*own)
+            return tree_links(ids, labels, sets, order.value, num, den, None if whole else sizes)
+
+        for batch in slices(batches) if whole else batches:
+            if whole:
+                sets = ngram_sets(batch.column("text"), k)
+                sizes = [0] * len(sets)
+            else:
+                sets = [np.sort(np.array(g, np.int64).view(np.uint64)) for g in batch.column("grams").to_pylist()]
+                sizes = batch.column("n").to_pylist()
+            for c, *row in zip(*(batch.column(x).to_pylist() for x in names[:3]), sets, sizes):
                 if c != cell:
                     found += close()
-                    cell, ids, labels, sets = c, [], [], []
-                if not ids or ids[-1] != i:
-                    ids.append(i)
-                    labels.append(label)
-                    sets.append(s)
+                    cell, own = c, []
+                if not own or own[-1][0] != row[0]:
+                    own.append(row)
             if found:
                 yield batch_of(dict(zip(("a", "b"), zip(*found))), arrow)
                 found = []
@@ -255,17 +281,17 @@ def _meet(rows: DataFrame, texts: DataFrame, k: int, order, num: int, den: int)
             yield batch_of(dict(zip(("a", "b"), zip(*found))), arrow)
 
     n = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    together = rows.join(texts, "class").repartition(n, "cell").sortWithinPartitions("cell", "class")
-    return together.select("cell", "class", "label", "text").mapInArrow(run, schema)
+    together = rows.repartition(n, "cell").sortWithinPartitions("cell", "class")
+    return together.select(*names).mapInArrow(run, schema)
 
 
-def _cells(rows: DataFrame) -> DataFrame:
-    """Cut cells of over ``CELL`` classes into blocks, and let each two blocks meet.
+def _cells(rows: DataFrame, limit: int) -> DataFrame:
+    """Cut cells whose ``weight`` sums to over ``limit`` into blocks, and let each two blocks meet.
 
-    Rows: cell, class, label. A class is in as many cells as there are blocks.
+    Rows: cell, class, label, weight. A class is in as many cells as there are blocks.
     """
-    size = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
-    blocks = F.ceil(F.col("m") / CELL).cast("int")
+    size = rows.groupBy("cell").agg(F.sum("weight").alias("m"))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("m") / limit)).cast("int")
     cut = rows.join(size, "cell").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("class", "cell"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cut = cut.select("cell", "class", "label", "own", other.alias("other"))
@@ -302,7 +328,7 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
     cell = F.xxhash64("hub", "portion").alias("cell")
     own = placed.select(cell, "class", F.col("class").alias("label"))
     hubs = placed.select("hub", "portion").distinct().select(cell, F.col("hub").alias("class"), F.col("hub").alias("label"))
-    links = materialize(_meet(own.unionByName(hubs), texts, k, order, num, den), "links")
+    links = materialize(_meet(own.unionByName(hubs).join(texts, "class"), order, num, den, k), "links")
     label = materialize(components(links), "labels")
 
     # N-grams that still join different components: all their classes meet.
@@ -320,7 +346,18 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
     banded = banded.select(F.xxhash64("gram", "band").alias("cell"), "class", "label")
     banded = materialize(banded, "banded")
     mixed = banded.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    more = _meet(_cells(banded.join(mixed.select("cell"), "cell")), texts, k, order, num, den)
+    firsts = met.groupBy("class", "n").agg(F.collect_list("gram").alias("grams"))  # no more than its first n-grams
+    cells = _cells(banded.join(mixed.select("cell"), "cell").withColumn("weight", F.lit(1)), CELL).join(firsts, "class")
+    near = materialize(_meet(cells, order, num, den, k), "near")
+
+    # Components that could link, and the classes of each.
+    own_label = labelled.select("class", "label", F.col("n").alias("weight")).distinct()
+    ends = own_label.select(F.col("class").alias("a"), F.col("label").alias("la"))
+    others = own_label.select(F.col("class").alias("b"), F.col("label").alias("lb"))
+    group = components(near.join(ends, "a").join(others, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    group = group.select(F.col("node").alias("label"), F.col("component").alias("cell"))
+    whole = materialize(_cells(own_label.join(group, "label"), CELL_GRAMS), "whole")
+    more = _meet(whole.join(texts, "class"), order, num, den, k)
 
     label = components(links.unionByName(more))
     of_class = classes.join(label.withColumnRenamed("node", "class"), "class").select("class", "doc_id", "component")
