@@ -13,10 +13,11 @@ Only reachability is asked for, so sets known to be linked are not compared agai
 1. Equal sets are one class from the start.
 2. Each class meets the first class of every n-gram that both hold; what links becomes
    one component. Groups of near copies collapse here, in work linear in their rows.
-3. Where an n-gram still joins different components, all its classes meet by what their
-   first n-grams share, in cells by size: c shared ones allow c + max(n - p) in all, p
-   being how many first n-grams there are. This leaves few components that could link.
-4. The classes of such components meet with their whole sets.
+3. c shared ones among the first p n-grams allow c + max(n - p) in all. By this bound
+   classes are near or not, first with the first class of an n-gram as in 2; where an
+   n-gram still joins classes not connected so, all its classes meet in trees of their
+   first n-grams, in cells by size.
+4. The classes that are connected by being near, but not linked, meet with whole sets.
 A cell of over ``CELL`` classes or ``CELL_GRAMS`` n-grams is cut into blocks, and each two blocks meet.
 Links are exact up to collisions of 64-bit hashes.
 
@@ -318,10 +319,14 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
     texts = docs.where("text is not null").join(needed, "doc_id").dropDuplicates(["class"]).select("class", "text")
     texts = materialize(texts, "texts")
 
-    # Each class with the first class of each of its n-grams, where sizes allow a link.
+    # Each class with the first class of each of its n-grams, where sizes and the number of
+    # n-grams shared so allow a link.
     sizes = classes.select(F.col("class").alias("hub"), F.col("n").alias("hub_n"))
-    fit = (den * F.least("n", "hub_n") >= num * F.greatest("n", "hub_n")) & (F.col("class") != F.col("hub"))
-    stars = met.select("class", "n", "hub").distinct().join(sizes, "hub").where(fit).select("class", "hub")
+    rest = lambda n: F.floor((num * F.col(n) + (den - 1)) / den) - 1
+    reach = F.col("count") + F.greatest(rest("n"), rest("hub_n"))
+    fit = (num + den) * reach >= num * (F.col("n") + F.col("hub_n"))
+    stars = met.where("class <> hub").groupBy("class", "n", "hub").count().join(sizes, "hub").where(fit)
+    stars = materialize(stars.select("class", "hub"), "stars")
     portion = F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("portions")
     portions = stars.groupBy("hub").agg(portion)
     placed = stars.join(portions, "hub").withColumn("portion", F.pmod(F.xxhash64("class"), F.col("portions")).cast("int"))
@@ -331,10 +336,12 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
     links = materialize(_meet(own.unionByName(hubs).join(texts, "class"), order, num, den, k), "links")
     label = materialize(components(links), "labels")
 
-    # N-grams that still join different components: all their classes meet.
+    # N-grams that still join classes not yet thought near: all their classes meet.
+    thought = components(links.unionByName(stars.select(F.col("class").alias("a"), F.col("hub").alias("b"))))
+    thought = thought.select(F.col("node").alias("class"), F.col("component").alias("thought"))
     labelled = (
-        met.select("gram", "class", "n").join(label.withColumnRenamed("node", "class"), "class", "left")
-        .select("gram", "class", "n", F.coalesce("component", "class").alias("label"))
+        met.select("gram", "class", "n").join(thought, "class", "left")
+        .select("gram", "class", "n", F.coalesce("thought", "class").alias("label"))
     )
     open_ = labelled.groupBy("gram").agg(
         F.min("label").alias("low"), F.max("label").alias("high"),
@@ -350,13 +357,19 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
     cells = _cells(banded.join(mixed.select("cell"), "cell").withColumn("weight", F.lit(1)), CELL).join(firsts, "class")
     near = materialize(_meet(cells, order, num, den, k), "near")
 
-    # Components that could link, and the classes of each.
-    own_label = labelled.select("class", "label", F.col("n").alias("weight")).distinct()
-    ends = own_label.select(F.col("class").alias("a"), F.col("label").alias("la"))
-    others = own_label.select(F.col("class").alias("b"), F.col("label").alias("lb"))
+    # What is near in the end, where it holds more than one component of links.
+    own_thought = labelled.select("class", "label", F.col("n").alias("weight")).distinct()
+    ends = own_thought.select(F.col("class").alias("a"), F.col("label").alias("la"))
+    others = own_thought.select(F.col("class").alias("b"), F.col("label").alias("lb"))
     group = components(near.join(ends, "a").join(others, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
-    group = group.select(F.col("node").alias("label"), F.col("component").alias("cell"))
-    whole = materialize(_cells(own_label.join(group, "label"), CELL_GRAMS), "whole")
+    group = group.select(F.col("node").alias("label"), F.col("component").alias("found"))
+    own_label = (
+        own_thought.join(group, "label", "left").withColumn("cell", F.coalesce("found", "label")).drop("label", "found")
+        .join(label.withColumnRenamed("node", "class"), "class", "left")
+        .select("cell", "class", F.coalesce("component", "class").alias("label"), "weight")
+    )
+    open_cells = own_label.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    whole = materialize(_cells(own_label.join(open_cells.select("cell"), "cell"), CELL_GRAMS), "whole")
     more = _meet(whole.join(texts, "class"), order, num, den, k)
 
     label = components(links.unionByName(more))
