@@ -210,3 +210,16 @@ def test_a_broken_archive_is_an_error(spark):
     bad = spark.createDataFrame([("x.zip", bytearray(b"nonsense"))], "path string, content binary")
     with pytest.raises(Exception, match="(?i)zip"):
         archive_lines(bad).collect()
+
+
+def test_named_trip_files_must_exist(spark, tmp_path):
+    row = ",".join(["1"] * len(HEADER))
+    for name in ("trips 2021 q1.csv", "trips-2021-q2.csv"):
+        (tmp_path / name).write_text(",".join(HEADER) + "\n" + row + "\n")
+    folder = str(tmp_path)
+    both = ["trips 2021 q1.csv", "trips-2021-q2.csv"]
+    assert read_trips(spark, folder, file_names=both).count() == 2
+    assert read_trips(spark, folder, file_names=both[:1]).count() == 1
+    for names in (["trips-2021-q3.csv"], [both[0], "trips-2021-Q2.csv"]):
+        with pytest.raises(FileNotFoundError, match="no such trip files"):
+            read_trips(spark, folder, file_names=names)

@@ -216,7 +216,7 @@ def export_trips(spark: SparkSession, sf_dir: str) -> str:
 
 def recent_files(folder: str) -> str:
     """The exported files of the recent quarters, as a glob."""
-    return f"{folder}/quarter=200[1-9]-q[1-4]"
+    return f"{folder}/quarter={{200[1-9],20[1-9][0-9],2[1-9][0-9][0-9]}}-q[1-4]"
 
 
 def export_stations(stations: DataFrame) -> str:

@@ -32,14 +32,22 @@ def read_trips(
 
     ``file_names`` keeps only files of those names, ``by_kind`` only those whose
     name says they hold trips. Both are predicates on file metadata: other files
-    are left out when the scan is planned, not read and dropped.
+    are left out when the scan is planned, not read and dropped. A name that no file
+    has is an error.
     """
     trips = _csv(spark, TRIP_FILE, True).csv(paths)
     name = F.col("_metadata.file_name")
     if by_kind:
         trips = trips.filter(file_kind(name) == "trips")
     if file_names is not None:
-        trips = trips.filter(name.isin(*file_names))
+        escaped = {n.replace("%", "%25").replace(" ", "%20"): n for n in file_names}
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        found = files.load(paths).filter(name.isin(*escaped)).select(name.alias("name"))
+        missing = set(escaped) - {r["name"] for r in found.distinct().collect()}
+        if missing:
+            listed = ", ".join(sorted(escaped[n] for n in missing))
+            raise FileNotFoundError(f"no such trip files: {listed}")
+        trips = trips.filter(name.isin(*escaped))
     return trips
 
 
