@@ -130,7 +130,7 @@ words as (
   select doc_id, string_split(trim(regexp_replace(unit, '[^a-z0-9]+', ' ', 'g')), ' ') as w from units),
 pairs as (
   select doc_id, len(w) - 1 as n,
-         list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) as p
+         list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) as p
   from words where len(w) > 1),
 scored as (
   select doc_id, license_id,
