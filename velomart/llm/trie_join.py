@@ -42,8 +42,8 @@ from velomart.workspace import materialize
 #: Classes that meet in one tree, and n-grams that a task counts at a time.
 CELL = 400
 #: N-grams of the whole sets that meet in one tree.
-CELL_GRAMS = 4_000_000
-COUNTED = 4_000_000
+CELL_GRAMS = 2_000_000
+COUNTED = 2_000_000
 #: Counts within such a portion from which an n-gram counts as frequent, and how many of them are put last.
 FREQUENT, LISTED = 8, 1 << 18
 
@@ -106,7 +106,7 @@ class Trie:
     def __init__(self, sets: list[np.ndarray], labels: list[int], sizes: list[int], rests: list[int]):
         self.sets, self.labels, self.sizes, self.rests = sets, labels, sizes, rests
         self.root = Node(np.zeros(0, np.int64))
-        stack = [(self.root, sorted(range(len(sets)), key=lambda i: sets[i].tolist()), 0)]
+        stack = [(self.root, sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes()), 0)]
         while stack:
             node, own, depth = stack.pop()
             node.longest = max(len(sets[i]) for i in own)
