@@ -11,14 +11,19 @@ its best length could no longer reach the threshold with what remains of both.
 
 Only reachability is asked for, so sets known to be linked are not compared again:
 1. Equal sets are one class from the start.
-2. Each class meets the first class of every n-gram that both hold; what links becomes
-   one component. Groups of near copies collapse here, in work linear in their rows.
-3. c shared ones among the first p n-grams allow c + max(n - p) in all. By this bound
-   classes are near or not, first with the first class of an n-gram as in 2; where an
-   n-gram still joins classes not connected so, all its classes meet in trees of their
-   first n-grams, in cells by size.
+2. Each class meets one other: of the first classes of its n-grams, the one that shares
+   most of them. What links becomes one component; groups of near copies collapse here,
+   in work linear in their rows, and a text travels once.
+3. Sizes allow a link within a factor of t, and c shared ones among the first p n-grams
+   allow c + max(n - p) in all. By these bounds classes are near or not, first with the
+   first class of every n-gram; where an n-gram still joins classes not connected so, all
+   its classes meet in trees of their first n-grams, in cells by size.
 4. The classes that are connected by being near, but not linked, meet with whole sets.
 A cell of over ``CELL`` classes or ``CELL_GRAMS`` n-grams is cut into blocks, and each two blocks meet.
+Within a tree, what has joined the first set's component is no longer walked: its links to
+the rest are found from the rest. Texts are kept packed by the first pass; the rows that
+must meet are looked up in it by number, sent to all tasks while they take ``SENT`` bytes
+at most and by a shuffle beyond.
 Links are exact up to collisions of 64-bit hashes.
 
 Rows: null or blank text has an empty set, links with nothing and is its own component.
@@ -29,14 +34,17 @@ component. An empty table gives no rows. Only doc_id and text are read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velomart.llm.graph import components
-from velomart.llm.text import Words, batch_of, mapped, mix, slices, to_arrow
+from velomart.llm.text import SLICE_BYTES, Words, batch_of, mapped, mix, raw, slices, to_arrow
 from velomart.workspace import materialize
 
 #: Classes that meet in one tree, and n-grams that a task counts at a time.
@@ -44,6 +52,8 @@ CELL = 400
 #: N-grams of the whole sets that meet in one tree.
 CELL_GRAMS = 2_000_000
 COUNTED = 2_000_000
+#: Measured bytes of looked-up row numbers up to which they are broadcast.
+SENT = 32 << 20
 #: Counts within such a portion from which an n-gram counts as frequent, and how many of them are put last.
 FREQUENT, LISTED = 8, 1 << 18
 
@@ -143,10 +153,11 @@ class Trie:
                 depth += len(node.segment)
                 used = int(np.searchsorted(x, node.segment[-1], "right"))
             reach = shared + min(len(x) - used, node.longest - depth) + max(rest, node.rest)
-            if (num + den) * reach < num * (n + node.least):
+            if (num + den) * min(reach, n) < num * (n + node.least):
                 continue
             for j in node.ends:
-                if self.labels[j] != label and (num + den) * (shared + max(rest, self.rests[j])) >= num * (n + self.sizes[j]):
+                m = self.sizes[j]
+                if self.labels[j] != label and num * max(n, m) <= den * min(n, m) and (num + den) * (shared + max(rest, self.rests[j])) >= num * (n + m):
                     yield j
             stack += [(c, shared, depth) for c in node.children]
 
@@ -185,37 +196,74 @@ def tree_links(
 
     trie = Trie(ranked, labels, sizes or [len(s) for s in sets], rests)
     inside = np.zeros(len(grams), bool)
-    links = []
-    for i, own in enumerate(ranked):
+    links, apart = [], len(parent)
+    begin = labels.index(Counter(labels).most_common(1)[0][0])
+    for i in [begin, *range(begin), *range(begin + 1, len(ranked))]:
+        if i != begin and top(labels[i]) == top(labels[begin]):
+            continue
+        own = ranked[i]
         inside[own] = True
         for j in trie.similar(i, inside, num, den):
             a, b = top(labels[i]), top(labels[j])
             if a != b:
                 parent[a] = b
                 links.append((ids[i], ids[j]))
+                apart -= 1
+                if apart == 1:
+                    return links
         inside[own] = False
     return links
 
 
+def pack(column: pa.Array) -> list[bytes]:
+    """Each text compressed by itself; null counts as empty."""
+    data, at = raw(column)
+    whole, packer = data.tobytes(), zstandard.ZstdCompressor(level=3)
+    return [packer.compress(whole[a:b]) for a, b in zip(at, at[1:])]
+
+
+def unpacked(batches):
+    """Batches with ``packed`` back as ``text``, in parts of about ``SLICE_BYTES`` of text."""
+    unpacker = zstandard.ZstdDecompressor()
+    for batch in batches:
+        i = batch.schema.get_field_index("packed")
+        column, others = batch.column(i), batch.drop_columns(["packed"])
+        first, texts, size = 0, [], 0
+        for at, value in enumerate(column):
+            texts.append(unpacker.decompress(value.as_py()))
+            size += len(texts[-1])
+            if size >= SLICE_BYTES or at + 1 == batch.num_rows:
+                text = pa.array(texts, pa.binary()).cast(pa.string())
+                yield others.slice(first, at + 1 - first).append_column("text", text)
+                first, texts, size = at + 1, [], 0
+
+
 def _shapes(docs: DataFrame, k: int) -> DataFrame:
-    """Rows ``kind`` 0: document, class and size of its set; 1: frequent n-gram and its count here."""
-    schema = "kind int, x long, y long, n long"
+    """Rows ``kind`` 0: document, class and size of its set, number of the row and packed text; 1: frequent n-gram and its count here."""
+    schema = "kind int, x long, y long, n long, row long, packed binary"
 
     def run(batches):
         arrow, held, size = to_arrow(schema), [], 0
+        row = TaskContext.get().partitionId() << 33
 
         def frequent():
             gram, count = np.unique(np.concatenate(held), return_counts=True)
             many = count >= FREQUENT
             n = int(many.sum())
-            return batch_of({"kind": np.ones(n, np.int32), "x": gram[many], "y": np.zeros(n, np.int64), "n": count[many]}, arrow)
+            zero = np.zeros(n, np.int64)
+            return batch_of({
+                "kind": np.ones(n, np.int32), "x": gram[many], "y": zero, "n": count[many], "row": zero,
+                "packed": pa.nulls(n, pa.binary()),
+            }, arrow)
 
         for batch in slices(batches):
             sets = ngram_sets(batch.column("text"), k)
             yield batch_of({
                 "kind": np.zeros(len(sets), np.int32), "x": batch.column("doc_id"),
                 "y": [class_of(s) for s in sets], "n": [len(s) for s in sets],
+                "row": np.arange(row, row + len(sets)), "packed": pack(batch.column("text")),
             }, arrow)
+            row += len(sets)
             held += sets
             size += sum(map(len, sets))
             if size > COUNTED:
@@ -227,6 +275,15 @@ def _shapes(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _with_texts(cells: DataFrame, classes: DataFrame, shapes: DataFrame) -> DataFrame:
+    """``cells`` (cell, class, label) with the packed text of one row of each class."""
+    wanted = materialize(cells.join(classes.select("class", "row"), "class"), "wanted")
+    rows = wanted.count()
+    width = 8 * len(wanted.columns)
+    kept = shapes.where("kind = 0 and n > 0").select("row", "packed")
+    return kept.join(F.broadcast(wanted) if rows * width <= SENT else wanted, "row").drop("row")
+
+
 def _prefixes(docs: DataFrame, k: int, order, num: int, den: int) -> DataFrame:
     """The first n-grams of each text's set: gram, class, size."""
 
@@ -246,10 +303,10 @@ def _prefixes(docs: DataFrame, k: int, order, num: int, den: int) -> DataFrame:
 
 
 def _meet(rows: DataFrame, order, num: int, den: int, k: int) -> DataFrame:
-    """Links within each ``cell`` of rows (cell, class, label, and text or size and grams)."""
+    """Links within each ``cell`` of rows (cell, class, label, and packed text or size and grams)."""
     schema = "a long, b long"
-    whole = "text" in rows.columns
-    names = ["cell", "class", "label", "text"] if whole else ["cell", "class", "label", "n", "grams"]
+    whole = "packed" in rows.columns
+    names = ["cell", "class", "label", "packed"] if whole else ["cell", "class", "label", "n", "grams"]
 
     def run(batches):
         arrow = to_arrow(schema)
@@ -261,7 +318,7 @@ def _meet(rows: DataFrame, order, num: int, den: int, k: int) -> DataFrame:
             ids, labels, sets, sizes = zip(*own)
             return tree_links(ids, labels, sets, order.value, num, den, None if whole else sizes)
 
-        for batch in slices(batches) if whole else batches:
+        for batch in unpacked(batches) if whole else batches:
             if whole:
                 sets = ngram_sets(batch.column("text"), k)
                 sizes = [0] * len(sets)
@@ -304,36 +361,36 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shapes = materialize(_shapes(docs, k), "shapes")
-    rows = shapes.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("class"), "n")
+    rows = shapes.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("class"), "n", "row")
     listed = (
         shapes.where("kind = 1").groupBy("x").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "x").limit(LISTED).collect()
     )  # bounded by LISTED; only the order depends on it
     order = spark.sparkContext.broadcast(Order([r["x"] for r in reversed(listed)]))
     with_id = rows.where("doc_id is not null and n > 0")
-    classes = with_id.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    classes = with_id.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.min("row").alias("row"))
+    classes = materialize(classes, "classes")
 
     prefixes = materialize(_prefixes(docs.where("doc_id is not null"), k, order, num, den), "prefixes")
     shared = prefixes.groupBy("gram").agg(F.min("class").alias("hub"), F.max("class").alias("last")).where("hub <> last")
     met = materialize(prefixes.join(shared.drop("last"), "gram").distinct(), "met")
-    needed = met.select("class").distinct().join(classes, "class").select("class", "doc_id")
-    texts = docs.where("text is not null").join(needed, "doc_id").dropDuplicates(["class"]).select("class", "text")
-    texts = materialize(texts, "texts")
 
     # Each class with the first class of each of its n-grams, where sizes and the number of
     # n-grams shared so allow a link.
     sizes = classes.select(F.col("class").alias("hub"), F.col("n").alias("hub_n"))
     rest = lambda n: F.floor((num * F.col(n) + (den - 1)) / den) - 1
     reach = F.col("count") + F.greatest(rest("n"), rest("hub_n"))
-    fit = (num + den) * reach >= num * (F.col("n") + F.col("hub_n"))
+    alike = num * F.greatest("n", "hub_n") <= den * F.least("n", "hub_n")
+    fit = alike & ((num + den) * reach >= num * (F.col("n") + F.col("hub_n")))
     stars = met.where("class <> hub").groupBy("class", "n", "hub").count().join(sizes, "hub").where(fit)
-    stars = materialize(stars.select("class", "hub"), "stars")
-    portion = F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("portions")
-    portions = stars.groupBy("hub").agg(portion)
-    placed = stars.join(portions, "hub").withColumn("portion", F.pmod(F.xxhash64("class"), F.col("portions")).cast("int"))
+    stars = materialize(stars.select("class", "n", "hub", "count"), "stars")
+    best = stars.groupBy("class", "n").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
+    full = F.greatest(F.count(F.lit(1)) / CELL, F.sum("n") / CELL_GRAMS)
+    portions = best.groupBy("hub").agg(F.ceil(full).cast("int").alias("portions"))
+    placed = best.join(portions, "hub").withColumn("portion", F.pmod(F.xxhash64("class"), F.col("portions")).cast("int"))
     cell = F.xxhash64("hub", "portion").alias("cell")
     own = placed.select(cell, "class", F.col("class").alias("label"))
     hubs = placed.select("hub", "portion").distinct().select(cell, F.col("hub").alias("class"), F.col("hub").alias("label"))
-    links = materialize(_meet(own.unionByName(hubs).join(texts, "class"), order, num, den, k), "links")
+    links = materialize(_meet(_with_texts(own.unionByName(hubs), classes, shapes), order, num, den, k), "links")
     label = materialize(components(links), "labels")
 
     # N-grams that still join classes not yet thought near: all their classes meet.
@@ -370,7 +427,7 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
     )
     open_cells = own_label.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     whole = materialize(_cells(own_label.join(open_cells.select("cell"), "cell"), CELL_GRAMS), "whole")
-    more = _meet(whole.join(texts, "class"), order, num, den, k)
+    more = _meet(_with_texts(whole, classes, shapes), order, num, den, k)
 
     label = components(links.unionByName(more))
     of_class = classes.join(label.withColumnRenamed("node", "class"), "class").select("class", "doc_id", "component")
