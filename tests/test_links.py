@@ -1,6 +1,7 @@
 """Links out of page markup."""
 
 import random
+from html import unescape
 from html.parser import HTMLParser
 
 import pytest
@@ -178,3 +179,50 @@ def test_long_pages_are_read_whole(spark):
     filler = "<p>text & more</p>" * 100_000
     html = f'{filler}<div class="data list"><ul><li>{filler}<a href="/end">x</a></li></ul></div>'
     assert links(spark, html) == [(0, "/end")]
+
+
+@pytest.mark.parametrize("depth", [17, 50, 500])
+def test_depth_of_the_container(spark, depth):
+    inner = "<div>" * depth + "</div>" * depth
+    outside = '<ul><li><a href="/out">x</a></li></ul>'
+    html = f'<div class="data list">{inner}</div>{outside}'
+    assert links(spark, html) == []
+    html = f'<div class="data list">{inner}<ul><li><a href="/in">x</a></li></ul></div>{outside}'
+    assert links(spark, html) == [(0, "/in")]
+
+
+@pytest.mark.parametrize("closed", [True, False])
+def test_many_nested_items(spark, closed):
+    n = 20_000
+    start, end = ("<ul><li>", "</li></ul>") if closed else ("<li>", "")
+    html = f'<div class="data list"><ul>{start * n}<a href="/x">x</a>{end * n}</ul></div>'
+    assert sorted(links(spark, html)) == [(i, "/x") for i in range(n)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a?x=1&#038;y=2&#x2F;z", "&eacute;&Eacute;&nbsp;&hellip;", "&#128512;&#x1F600;", "&#0;&#xD800;&#x110000;&#99999999999;",
+        "&#128;&#x99;", "&", "&&amp;&", "&nosuchname;", "&#;&#x;", "&#233", "&amp;#38;", "&copy;=1",
+    ],
+)
+def test_character_references(spark, text):
+    html = f'<div class="data list"><ul><li><a href="{text}">x</a></li></ul></div>'
+    assert links(spark, html) == [(0, unescape(text))]
+
+
+def test_names_without_semicolon_before_more_text_are_not_references(spark):
+    html = '<div class="data list"><ul><li><a href="/?a=1&copy=2&lt3&amp">x</a></li></ul></div>'
+    assert links(spark, html) == [(0, "/?a=1&copy=2&lt3&")]
+
+
+def test_bracket_in_a_quoted_value(spark):
+    html = '<div title="a>b" class="data list"><ul><li><a title=">" href="/a>b">x</a></li></ul></div>'
+    assert links(spark, html) == [(0, "/a>b")]
+
+
+def test_equal_and_keyless_rows(spark):
+    html = '<div class="data list"><ul><li><a href="/a">x</a></li></ul></div>'
+    pages = spark.createDataFrame([(1, html), (1, html), (1, html.replace("/a", "/b")), (None, html)], "page_id long, html string")
+    got = sorted(map(tuple, extract_links(pages, "div", "data list").collect()), key=str)
+    assert got == [(1, 0, "/a"), (1, 0, "/a"), (1, 0, "/b"), (None, 0, "/a")]

@@ -1,7 +1,9 @@
-"""Links of the first list inside a page's container element."""
+"""Tags of a page, what their attributes say, and character references."""
 
 from __future__ import annotations
 
+import html.entities
+import json
 import re
 
 from pyspark.sql import Column
@@ -12,95 +14,101 @@ _OPAQUE = (
     r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 )
 
-# How many elements of one kind may lie inside each other.
-_DEPTH = 16
+# Inside a tag, a closing angle bracket may stand in a quoted value. Possessive, so
+# that long pages are matched without backtracking.
+_QUOTED = r"""(?:"[^"]*+"|'[^']*+')"""
+_REST_OF_TAG = rf"(?:[^>=]++|=\s*+{_QUOTED}?+)*+>"
+_ATTRIBUTE = rf"[^\s=/>]++(?:\s*+=\s*+(?:{_QUOTED}|[^\s>]++))?+"
 
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*+(?:;|(?![=;])))"
 
-def _opening(tag: str) -> str:
-    return rf"<{re.escape(tag)}(?=[\s/>])[^>]*>"
 
+def _up_to(tag: str, attribute: str) -> str:
+    """Pattern of an opening tag up to the value of its first such attribute."""
+    return (
+        rf"(?is)^<{re.escape(tag)}(?:[\s/]++(?!{attribute}\s*=){_ATTRIBUTE})*+"
+        rf"[\s/]++{attribute}\s*=\s*"
+    )
 
-def _element(tag: str, opening: str) -> str:
-    """Pattern of an element, from a given opening tag to the closing tag that
-    belongs to it, or to the end of the text where there is none. Group 1 is what
-    is inside. Possessive, so that long pages are matched without backtracking.
-    """
-    name = re.escape(tag)
-    other = rf"(?:[^<]++|<(?!/?{name}[\s/>]))*+"
-    inside = other
-    for _ in range(_DEPTH):
-        inside = rf"{other}(?:{_opening(tag)}{inside}</{name}\s*>{other})*+"
-    return rf"(?is){opening}({inside}(?=</{name}\s*>|\z)|.*)"
-
-
-_LIST = _element("ul", _opening("ul"))
-_ITEM = _element("li", "^" + _opening("li"))
-_ITEM_START = r"(?i)(?=<li[\s/>])"
-_ITEM_ALONE = rf"(?is)^{_opening('li')}(.*?)(?:</li\s*>|\z)"
-_ITEM_END = r"(?i)</li\s*>"
-_ANCHOR = (
-    r"(?is)<a(?=\s)[^>]*?\shref\s*=\s*"
-    r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-)
 
-# Character references that occur in attribute values. The
-# ampersand comes last so that nothing is decoded twice.
-_REFERENCES = (
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&amp;", "&"),
-)
+_HREF = _up_to("a", "href") + r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
-def _with_class(tag: str, css_class: str) -> str:
-    """Opening tag whose class attribute is, or has among others, ``css_class``."""
-    wanted = r"\s+".join(re.escape(c) for c in css_class.split())
-    if len(css_class.split()) == 1:
-        wanted = rf"(?:[^\"']*\s)?{wanted}(?:\s[^\"']*)?"
-    return (
-        rf"<{re.escape(tag)}(?=\s)[^>]*?\sclass\s*=\s*"
-        rf"""(?:["']\s*{wanted}\s*["']|{wanted}(?=[\s>]))[^>]*>"""
+def tags(page: Column, names: list[str]) -> Column:
+    """Opening and closing tags of these names, in order, as they are written."""
+    either = "|".join(re.escape(n) for n in sorted(set(names)))
+    pattern = rf"(?is)</?(?:{either})(?=[\s/>]){_REST_OF_TAG}"
+    return F.regexp_extract_all(
+        F.regexp_replace(page, _OPAQUE, ""), F.lit(pattern), F.lit(0)
     )
 
 
-def list_items(html: Column, tag: str, css_class: str | None = None) -> Column:
-    """Inner text of each ``li`` of the first ``ul`` of the first container.
+def tag_name(tag: Column) -> Column:
+    return F.lower(F.regexp_extract(tag, r"^</?([^\s/>]+)", 1))
+
 
-    The container is the first ``tag`` element, of class ``css_class`` if one is
-    given: one class among several, or several in that order. Items of lists
-    nested in the list are items too, after the item that holds them.
+def has_class(tag: Column, name: str, css_class: str | None) -> Column:
+    """Whether an opening tag has the class: one among several, or several in that order.
+
+    Without a class any tag of the name will do.
     """
-    opening = _opening(tag) if css_class is None else _with_class(tag, css_class)
-    visible = F.regexp_replace(html, _OPAQUE, "")
-    inside = F.regexp_extract(visible, _element(tag, opening), 1)
-    pieces = F.filter(
-        F.split(F.regexp_extract(inside, _LIST, 1), _ITEM_START),
-        lambda piece: F.rlike(piece, F.lit("^" + _ITEM_START)),
+    if css_class is None:
+        return F.lit(True)
+    several = [re.escape(c) for c in css_class.split()]
+    quoted, bare = r"\s+".join(several), r"(?!)"
+    if len(several) == 1:
+        bare = quoted + r"(?=[\s>])"
+        quoted = rf"(?:[^\"']*\s)?{quoted}(?:\s[^\"']*)?"
+    value = rf"""(?:"\s*{quoted}\s*"|'\s*{quoted}\s*'|{bare})"""
+    return F.rlike(tag, F.lit(_up_to(name, "class") + value))
+
+
+def has_href(tag: Column) -> Column:
+    return F.rlike(tag, F.lit(_HREF))
+
+
+def href(tag: Column) -> Column:
+    """``href`` of an anchor that has one, with its character references resolved."""
+    return resolve_references(
+        F.concat(*(F.regexp_extract(tag, _HREF, g) for g in (1, 2, 3)))
     )
 
-    def item(piece: Column, position: Column) -> Column:
-        # Most items end, or have their link, before the next one starts.
-        alone = F.regexp_extract(piece, _ITEM_ALONE, 1)
-        rest = F.array_join(
-            F.slice(pieces, position + 1, F.size(pieces) - position), ""
-        )
-        return F.when(
-            has_link(alone) | F.rlike(piece, F.lit(_ITEM_END)), alone
-        ).otherwise(F.regexp_extract(rest, _ITEM, 1))
 
-    return F.transform(pieces, item)
+def resolve_references(text: Column) -> Column:
+    """The text of an attribute with named and numeric character references resolved.
 
+    A name without a semicolon counts where neither a letter, a digit nor an equals
+    sign follows. Numbers that are no character give the replacement character.
+    """
+    names = F.from_json(
+        F.lit(json.dumps(html.entities.html5)), "map<string,string>"
+    )
+    parts = F.regexp_extract_all(text, F.lit(rf"{_REFERENCE}|[^&]++|&"), F.lit(0))
+
+    def resolved(part: Column) -> Column:
+        digits = F.regexp_extract(part, r"^&#[xX]?([0-9a-fA-F]+)", 1)
+        base = F.when(F.rlike(part, F.lit("^&#[xX]")), 16).otherwise(10)
+        # Eight digits hold every character; what is longer is none.
+        short = F.regexp_replace(digits, "^0+(?=.)", "")
+        in_hex = F.when(base == 16, F.conv(short, 16, 16)).otherwise(F.conv(short, 10, 16))
+        in_hex = F.when(F.length(short) <= 8, in_hex).otherwise(F.lit("FFFFFFFF"))
+        return (
+            F.when(F.startswith(part, F.lit("&#")), _character(in_hex))
+            .when(F.startswith(part, F.lit("&")), F.coalesce(names[F.substring(part, 2, 64)], part))
+            .otherwise(part)
+        )
 
-def has_link(item: Column) -> Column:
-    """Whether an item holds an anchor with a ``href``."""
-    return F.rlike(item, F.lit(_ANCHOR))
+    whole = F.array_join(F.transform(parts, resolved), "")
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
 
 
-def first_href(item: Column) -> Column:
-    """``href`` of the first anchor of an item that has one."""
-    href = F.concat(*(F.regexp_extract(item, _ANCHOR, g) for g in (1, 2, 3)))
-    for reference, character in _REFERENCES:
-        href = F.replace(href, F.lit(reference), F.lit(character))
-    return href
+def _character(in_hex: Column) -> Column:
+    """The character of a code point written in upper-case base 16 without leading zeros.
+
+    By the rules of HTML the codes 80 to 9F, in base 16, stand for those of Windows-1252.
+    """
+    moved = {f"{i:X}": bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160)}
+    moved = F.from_json(F.lit(json.dumps(moved)), "map<string,string>")
+    none = F.rlike(in_hex, F.lit("^(0|D[89A-F][0-9A-F]{2}|1[1-9A-F][0-9A-F]{4}|[2-9A-F][0-9A-F]{5}|[0-9A-F]{7,})$"))
+    plain = F.decode(F.unhex(F.lpad(in_hex, 8, "0")), "UTF-32")
+    return F.when(none, F.lit("�")).otherwise(F.coalesce(moved[in_hex], plain))

@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from velomart.functions.links import first_href, has_link, list_items
+from velomart.functions.links import has_class, has_href, href, tag_name, tags
+
+
+def _page(*more: str) -> WindowSpec:
+    return Window.partitionBy("key_", "digest_", *more)
+
+
+def _so_far() -> WindowSpec:
+    return _page().orderBy("at")
+
+
+def _from_end(*more: str) -> WindowSpec:
+    """Downwards, so that the nearest tag behind a tag is the last one seen."""
+    return _page(*more).orderBy(F.desc("at"))
 
 
 def extract_links(
@@ -17,12 +30,67 @@ def extract_links(
 ) -> DataFrame:
     """One row per list item with a link: page key, item position, ``href``.
 
-    Reads the first list of the page's first container (see ``list_items``).
-    Positions count all items, also those without a link, which give no row.
+    Reads the first ``ul`` of the page's first container: the first ``tag`` element,
+    of class ``css_class`` if one is given. Items of lists nested in the list are items
+    too, after the item that holds them; an item's link is its first anchor with a
+    ``href``. Positions count all items, also those without a link, which give no row.
+
+    A page becomes a row per tag of the four kinds that matter, and elements become
+    ranges of positions: how many elements of a kind are open is a running sum, and an
+    element ends where the sum falls below what it was at its opening, or with what
+    holds it. That is linear in the page at any depth, and only tags are shuffled.
+    Equal rows of the table give their links as often as they are there.
     """
-    items = pages.select(
-        key, F.posexplode(list_items(F.col(html), tag, css_class)).alias("pos", "item")
+    tag = tag.lower()
+    found = tags(F.col(html), [tag, "ul", "li", "a"])
+    listed = pages.select(F.col(key).alias("key_"), found.alias("tags_"))
+    # Before the tags are parted: a digest for each tag would read the page once a tag.
+    digest = F.sha2(F.array_join("tags_", ""), 256).alias("digest_")
+    listed = listed.groupBy("key_", digest).agg(F.first("tags_").alias("tags_"), F.count(F.lit(1)).alias("copies_"))
+    each = listed.select(
+        "key_", "digest_", "copies_", F.posexplode("tags_").alias("at", "tag")
+    ).select(
+        "*",
+        tag_name(F.col("tag")).alias("kind"),
+        (~F.startswith("tag", F.lit("</"))).alias("opens"),
     )
-    return items.filter(has_link(F.col("item"))).select(
-        key, "pos", first_href(F.col("item")).alias("href")
+    container = _opens(tag) & has_class(F.col("tag"), tag, css_class)
+    inside = _first_element(_first_element(each, container, tag), _opens("ul"), "ul", skip=True)
+    items = inside.withColumn("open_", _open_elements("li"))
+    items = items.withColumn("level", F.when(F.col("kind") == "li", F.col("open_") + F.when(F.col("opens"), 0).otherwise(1)))
+    closing = F.when((F.col("kind") == "li") & ~F.col("opens"), F.col("at"))
+    anchor = F.when(_opens("a") & has_href(F.col("tag")), F.struct("at", "tag"))
+    items = (
+        items.withColumn("pos", (F.sum(F.when(_opens("li"), 1)).over(_so_far()) - 1).cast("int"))
+        .withColumn("anchor", F.last(anchor, ignorenulls=True).over(_from_end()))
+        .withColumn("ends_", F.last(closing, ignorenulls=True).over(_from_end("level")))
+        .filter(_opens("li") & (F.col("ends_").isNull() | (F.col("anchor.at") < F.col("ends_"))))
+        .filter(F.col("anchor").isNotNull())
     )
+    return items.select(
+        F.col("key_").alias(key), "pos", href(F.col("anchor.tag")).alias("href"),
+        F.explode(F.sequence(F.lit(1), F.col("copies_"))).alias("copy_"),
+    ).drop("copy_")
+
+
+def _opens(kind: str) -> Column:
+    return (F.col("kind") == kind) & F.col("opens")
+
+
+def _open_elements(kind: str) -> Column:
+    """How many elements of a kind have been opened and not closed, so far."""
+    step = F.when(F.col("kind") == kind, F.when(F.col("opens"), 1).otherwise(-1)).otherwise(0)
+    return F.sum(step).over(_so_far())
+
+
+def _first_element(each: DataFrame, first: Column, kind: str, skip: bool = False) -> DataFrame:
+    """The tags from the page's first such opening tag to the end of its element.
+
+    With ``skip``, the tag that begins ``each`` is not looked at.
+    """
+    if skip:
+        each = each.withColumn("begin_", F.min("at").over(_page())).filter(F.col("at") > F.col("begin_"))
+    begun = each.withColumn("begin_", F.min(F.when(first, F.col("at"))).over(_page()))
+    begun = begun.filter(F.col("at") >= F.col("begin_")).withColumn("open_", _open_elements(kind))
+    ended = begun.withColumn("end_", F.min(F.when(F.col("open_") == 0, F.col("at"))).over(_page()))
+    return ended.filter(F.col("end_").isNull() | (F.col("at") < F.col("end_")))
