@@ -13,7 +13,7 @@ from velomart.functions.names import last_segment
 from velomart.operators import enrich, filters, pairs
 from velomart.plans.mart import build_mart
 from velomart.plans.publish import run_all
-from velomart.plans.reports import REPORTS
+from velomart.plans.reports import REPORTS, preview
 from velomart.schema import TRIP_FILE
 from velomart.sinks.mart import write_mart
 from velomart.sinks.reports import parquet_sink
@@ -43,6 +43,12 @@ def _report(key: str, **options) -> Query:
     return lambda spark, sf: REPORTS[key].build(fixtures.trips(spark, sf), **options)
 
 
+def _preview(key: str, **options) -> Query:
+    """The first rows in reading order, as the report's user sees them."""
+    report = _report(key, **options)
+    return lambda spark, sf: preview(report(spark, sf), key)
+
+
 def _over_trips(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: operator(fixtures.trips(spark, sf))
 
@@ -73,6 +79,10 @@ def _links(spark: SparkSession, sf: str) -> DataFrame:
     return extract_links(fixtures.table(spark, sf, "pages"), "nav")
 
 
+def _links_by_class(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_links(fixtures.classed_pages(spark, sf), "nav", "menu")
+
+
 def _url_file_name(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.table(spark, sf, "pages").select(
         "page_id", last_segment(F.col("url")).alias("file_name")
@@ -148,6 +158,10 @@ def _own_queries() -> dict[str, Query]:
     reports["r3"] = _report("r3", pass_type=fixtures.PASS_TYPE)
     return {
         **reports,
+        "preview_r3": _preview("r3", pass_type=fixtures.PASS_TYPE),
+        "preview_r6": _preview("r6"),
+        "preview_r8": _preview("r8"),
+        "preview_r13": _preview("r13"),
         "pair_shares": _over_trips(
             lambda t: pairs.shares_around_average(t).select(
                 "bike_type",
@@ -161,6 +175,7 @@ def _own_queries() -> dict[str, Query]:
         "scan_archives": _scan_archives,
         "classify_files": _classify,
         "extract_links": _links,
+        "extract_links_class": _links_by_class,
         "url_file_name": _url_file_name,
         "build_mart": _built,
         "sink_mart": _sink_mart,
@@ -309,6 +324,18 @@ _AROUND = f"""select bike_type, duration,
 from trips where {_NAMED}"""
 
 
+_LINKS = """select page_id, pos, href from (
+select page_id, cast(i-1 as integer) as pos,
+       regexp_extract(l[i],'(?s)<a [^>]*href="([^"]*)"',1) as href
+from (select page_id, l, unnest(range(1,len(l)+1)) as i
+      from (select page_id,
+                   regexp_extract_all(
+                     regexp_extract(html,'(?s)<nav>(.*?)</nav>',1),
+                     '(?s)<li>(.*?)</li>',1) as l
+            from pages) y) x) z
+where href <> ''"""
+
+
 def _share(comparison: str, name: str) -> str:
     return f"""select g.bike_type, g.n*100/t.total as {name}
 from (select bike_type,count(*) as n from ({_AROUND}) x
@@ -370,6 +397,21 @@ from trips group by 1,2""",
     }
 
 
+def _preview_sql() -> dict[str, str]:
+    """The first twenty rows in reading order, ties ordered by all columns."""
+    order = {
+        "r3": "monthly_pass_total desc, month_year, start_station, start_station_name",
+        "r6": "total_bike desc, trip_route_category, month_year",
+        "r8": "total_duration desc, bike_type",
+        "r13": "start_station_name, end_station_name, avg, duration, bike_type",
+    }
+    reports = _report_sql()
+    return {
+        f"preview_{key}": f"select * from ({reports[key]}) x order by {keys.replace(',', ' nulls last,')} nulls last limit 20"
+        for key, keys in order.items()
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     """For each query that SQL can express, SQL that gives the same rows from the same tables."""
     return {**_own_sql(), **(llm.oracle_sql() if llm else {})}
@@ -378,6 +420,7 @@ def oracle_sql() -> dict[str, str]:
 def _own_sql() -> dict[str, str]:
     over_trips = {
         **_report_sql(),
+        **_preview_sql(),
         "pair_shares": """select bike_type, n_lt*100/total as delay_percentage,
        n_ge*100/total as good_percentage
 from (select t.bike_type, count_if(t.duration<a.avg) as n_lt,
@@ -451,16 +494,8 @@ from (select o_orderkey,
                when 4 then 'readme-q'||quarter(o_orderdate)||'.txt'
                else 'notes-'||year(o_orderdate)||'.txt' end as file_name
       from orders) x""",
-        "extract_links": """select page_id, pos, href from (
-select page_id, cast(i-1 as integer) as pos,
-       regexp_extract(l[i],'(?s)<a [^>]*href="([^"]*)"',1) as href
-from (select page_id, l, unnest(range(1,len(l)+1)) as i
-      from (select page_id,
-                   regexp_extract_all(
-                     regexp_extract(html,'(?s)<nav>(.*?)</nav>',1),
-                     '(?s)<li>(.*?)</li>',1) as l
-            from pages) y) x) z
-where href <> ''""",
+        "extract_links": _LINKS,
+        "extract_links_class": _LINKS,
         "url_file_name": """select page_id, string_split(url,'/')[-1] as file_name
 from pages""",
         "parse_mixed_dates": """select o_orderkey,

@@ -53,25 +53,20 @@ def _line_items_with_ends(
 ) -> DataFrame:
     """Line items with their order and customer.
 
-    Customers are joined to the orders and not to the several times larger line
-    items, and all else is joined after these two have met, so that it is not
-    carried through their shuffle. Adaptive execution splits a hot order key there,
-    and broadcasts the orders instead where they turn out to be few.
+    Line items lead every join, so that the side built or broadcast is always one of the
+    tables they refer to, never the line items. Adaptive execution splits a hot order
+    key, and broadcasts the orders where they turn out to be few.
     """
-    ends = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
-    if nation is not None:
-        ends = ends.join(
-            nation.select(
-                F.col("n_nationkey").alias("c_nationkey"),
-                F.col("n_name").alias("end_station_name"),
-            ),
-            "c_nationkey",
-        )
-    return table(spark, sf_dir, "lineitem").join(
-        ends, F.col("l_orderkey") == F.col("o_orderkey")
+    items = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    ).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    if nation is None:
+        return items
+    ends = nation.select(
+        F.col("n_nationkey").alias("c_nationkey"),
+        F.col("n_name").alias("end_station_name"),
     )
+    return items.join(ends, "c_nationkey")
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,6 +196,12 @@ def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def classed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with classes at their navigation."""
+    html = F.replace("html", F.lit("<nav>"), F.lit('<nav id="top" class="site menu">'))
+    return table(spark, sf_dir, "pages").withColumn("html", html)
+
+
 def export_trips(spark: SparkSession, sf_dir: str) -> str:
     """Write the trips as CSV files with headers, a folder per quarter."""
     path = fresh_path(spark, "trip-files")

@@ -254,9 +254,14 @@ REPORTS: dict[str, Report] = {
 
 
 def preview(df: DataFrame, report: str, rows: int = 20) -> DataFrame:
-    """The first rows in the report's reading order, without sorting the rest."""
+    """The first rows in the report's reading order, without sorting the rest.
+
+    Columns that the reading order leaves out follow it, so that only equal rows tie.
+    """
+    order = REPORTS[report].order
+    named = {k.removeprefix("-") for k in order}
     keys = [
         _descending(k[1:]) if k.startswith("-") else F.col(k).asc_nulls_last()
-        for k in REPORTS[report].order
+        for k in [*order, *(c for c in df.columns if c not in named)]
     ]
-    return (df.orderBy(*keys) if keys else df).limit(rows)
+    return df.orderBy(*keys).limit(rows)
