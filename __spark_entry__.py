@@ -68,7 +68,7 @@ def _scan_stations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scan_archives(spark: SparkSession, sf: str) -> DataFrame:
-    return unpack_archives(fixtures.archives(spark, sf), TRIP_FILE)
+    return unpack_archives(fixtures.archives(spark, sf), TRIP_FILE, kind="trips")
 
 
 def _classify(spark: SparkSession, sf: str) -> DataFrame:

@@ -71,5 +71,14 @@ def test_every_query_has_an_oracle():
     assert set(contract._own_queries()) == set(contract._own_sql())
 
 
+def test_line_items_are_never_the_side_that_is_built(spark):
+    """At the largest size at hand, where the plan chooses by its estimates."""
+    sf = "/root/testdata/sf0.1"
+    for trips in (contract.fixtures.trips(spark, sf), contract.fixtures.raw_trips(spark, sf)):
+        physical = trips._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in physical.splitlines() if "Join [" in line]
+        assert joins and not any("BuildLeft" in line for line in joins)
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 6

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from velomart import workspace
 from velomart.sinks.mart import write_mart
-from velomart.sinks.reports import jdbc_sink, parquet_sink
+from velomart.sinks.reports import jdbc_sink, parquet_sink, spread
 from velomart.workspace import fresh_path, materialize, work_dir
 
 
@@ -58,6 +58,12 @@ def test_jdbc_sink_settings(spark, monkeypatch):
     }
 
 
+def test_few_connections_do_not_narrow_the_scan(spark):
+    df = spread(spark.range(0, 1000, 1, 12).withColumn("task", F.spark_partition_id()), 3)
+    assert df.rdd.getNumPartitions() == 3
+    assert df.agg(F.count_distinct("task")).first()[0] == 12
+
+
 def test_months_are_gathered_and_a_hot_month_is_split(spark):
     """Few files per month, yet more than one for a month that is too large."""
     day = F.when(F.col("id") % 3 == 0, F.lit("2021-05-05")).otherwise(

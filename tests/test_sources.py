@@ -223,3 +223,34 @@ def test_named_trip_files_must_exist(spark, tmp_path):
     for names in (["trips-2021-q3.csv"], [both[0], "trips-2021-Q2.csv"]):
         with pytest.raises(FileNotFoundError, match="no such trip files"):
             read_trips(spark, folder, file_names=names)
+
+
+def packed(tmp_path, members):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        for name, data in members.items():
+            archive.writestr(name, data)
+    return str(tmp_path)
+
+
+def test_archive_members_are_told_apart(spark, tmp_path):
+    folder = packed(
+        tmp_path,
+        {
+            "in/trips-q1.csv": "\n \ntrip_id,duration\n1,5\n",
+            "stations.csv": "9,Main,,,Active\n",
+            "__MACOSX/in/._trips-q1.csv": "junk\njunk\n",
+            "in/._trips-q2.csv": "junk\njunk\n",
+        },
+    )
+    trips = read_archives(spark, folder, TRIP_FILE, kind="trips")
+    assert [(r.trip_id, r.duration) for r in trips.collect()] == [(1, 5)]
+    stations = read_archives(spark, folder, STATION_FILE, header=False, kind="stations")
+    assert [r.station_id for r in stations.collect()] == [9]
+
+
+def test_archive_bytes_are_not_altered(spark, tmp_path):
+    folder = packed(tmp_path, {"s.csv": b"9,Caf\xe9,,,Active\n"})
+    latin = read_archives(spark, folder, STATION_FILE, header=False, encoding="latin-1")
+    assert [r.station_name for r in latin.collect()] == ["Café"]
+    with pytest.raises(Exception, match="decode"):
+        read_archives(spark, folder, STATION_FILE, header=False).collect()

@@ -254,6 +254,8 @@ def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 member = f"trips-q{len(archive.namelist())}.csv"
                 archive.writestr(member, "\n".join([header, *part]) + "\n")
             archive.writestr("readme.txt", "not a table\n")
+            archive.writestr("__MACOSX/._trips-q0.csv", "not a table\n")
+            archive.writestr("stations.csv", "9,Station,2016-07-07,Kind,Active\n")
         yield pd.DataFrame(
             {"path": [f"batch-{number}.zip"], "content": [packed.getvalue()]}
         )

@@ -32,7 +32,7 @@ def jdbc_sink(
 
     def save(table: str, df: DataFrame) -> None:
         writer = (
-            df.write.format("jdbc")
+            spread(df, connections).write.format("jdbc")
             .options(**(properties or {}))
             .option("url", url)
             .option("dbtable", table)
@@ -43,3 +43,12 @@ def jdbc_sink(
         writer.mode("overwrite").save()
 
     return save
+
+
+def spread(df: DataFrame, connections: int) -> DataFrame:
+    """``df`` in as many partitions as there are connections.
+
+    By a shuffle: left to itself the writer merges the tasks of the scan and the joins
+    before it too, and those would then run no wider than the connections.
+    """
+    return df.repartition(connections)
