@@ -383,6 +383,61 @@ def test_exact_runs_are_all_found(docs):
     assert want and want <= {r["doc_id"] for r in chains.repeated_passages(docs).collect()}
 
 
+def uncovered(df, passages, n=50):
+    """Documents with a word of ``n`` words in a row of an earlier document that lies in no passage; those with such words."""
+    earlier, spans, lost, seen = set(), {}, set(), set()
+    for r in passages:
+        spans.setdefault(r["doc_id"], []).append((r["start_word"], r["n_words"]))
+    for doc_id, text in order(texts(df)):
+        w = text.encode().lower().split()
+        own = [hash(tuple(w[i : i + n])) for i in range(len(w) - n + 1)]
+        held, want = np.zeros(len(w), bool), np.zeros(len(w), bool)
+        for first, m in spans.get(doc_id, ()):
+            held[first : first + m] = True
+        for i, g in enumerate(own):
+            if g in earlier:
+                want[i : i + n] = True
+        if want.any():
+            seen.add(doc_id)
+        if (want & ~held).any():
+            lost.add(doc_id)
+        earlier.update(own)
+    return lost, seen
+
+
+def check_equal(df, passages):
+    """Passages said to be equal are, word by word."""
+    words = {d: t.encode().lower().split() for d, t in texts(df)}
+    for r in passages:
+        if r["similarity"] == 1.0:
+            a, b, n = r["start_word"], r["source_start_word"], r["n_words"]
+            assert n >= 50 and words[r["doc_id"]][a : a + n] == words[r["source_doc_id"]][b : b + n]
+
+
+def test_periodic_runs(spark):
+    rng = random.Random(8)
+    some = lambda n: [f"w{rng.randrange(100_000)}" for _ in range(n)]
+    line, period = some(7), some(23)
+    rows = [
+        ["Of"] * 393, ["Of"] * 393, some(30) + ["Of"] * 1000 + some(9), line * 20, some(5) + line[3:] + line * 30, line * 4,
+        some(40) + period * 3 + some(20) + period * 9, period[4:] + period * 12 + some(11),
+    ]
+    df = spark.createDataFrame([(i, " ".join(w), "en", "s", 0) for i, w in enumerate(rows)], COLUMNS)
+    got = chains.repeated_passages(df).collect()
+    lost, seen = uncovered(df, got)
+    assert seen == {1, 2, 4, 7} and not lost
+    check_equal(df, got)
+    assert len(got) < 30
+    left = {r["doc_id"]: r["text"] for r in chains.without_repeats(df).collect()}
+    assert left[1] == "" and left[0] == " ".join(rows[0])
+    assert "Of" not in left[2].split() and len(left[2].split()) == 39
+
+
+def test_no_word_of_an_equal_run_is_lost(docs):
+    lost, seen = uncovered(docs, chains.repeated_passages(docs).collect())
+    assert seen and not lost
+
+
 def test_passages_are_cut_once(spark, messy, nothing):
     df = planted(spark)
     left = {r["doc_id"]: r["text"] for r in chains.without_repeats(df).collect()}
