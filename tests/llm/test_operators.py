@@ -433,6 +433,22 @@ def test_periodic_runs(spark):
     assert "Of" not in left[2].split() and len(left[2].split()) == 39
 
 
+def test_runs_held_in_parts_by_earlier_documents(spark):
+    rng = random.Random(9)
+    some = lambda n: [f"w{rng.randrange(100_000)}" for _ in range(n)]
+    p, q = some(80), some(60)
+    rows = [
+        some(50), some(20) + p[:40] + some(20), some(9) + p[40:] + some(30), some(33) + p + some(20), some(61) + p,
+        q[:30] + some(30), q[30:] + some(40), some(8) + q, q + some(8), some(30) + q + some(3),
+    ]
+    df = spark.createDataFrame([(i, " ".join(w), "en", "s", 0) for i, w in enumerate(rows)], COLUMNS)
+    got = chains.repeated_passages(df).collect()
+    lost, seen = uncovered(df, got)
+    assert seen == {4, 8, 9} and not lost
+    assert {(r["doc_id"], r["source_doc_id"], r["n_words"]) for r in got} == {(4, 3, 80), (8, 7, 60), (9, 7, 60)}
+    check_equal(df, got)
+
+
 def test_no_word_of_an_equal_run_is_lost(docs):
     lost, seen = uncovered(docs, chains.repeated_passages(docs).collect())
     assert seen and not lost
