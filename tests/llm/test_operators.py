@@ -449,6 +449,22 @@ def test_runs_held_in_parts_by_earlier_documents(spark):
     check_equal(df, got)
 
 
+@pytest.mark.parametrize("edits, least", [(5, 0.9), (10, 0.7)])
+def test_passages_with_edits_at_random(spark, edits, least):
+    rng = random.Random(5)
+    some = lambda n: [f"w{rng.randrange(1_000_000)}" for _ in range(n)]
+    rows = []
+    for i in range(0, 100, 2):
+        p = some(50)
+        q = list(p)
+        for j in rng.sample(range(1, 49), edits):
+            q[j] = some(1)[0]
+        rows += [(i + k, " ".join(some(30) + own + some(30)), "en", "s", 0) for k, own in enumerate((p, q))]
+    got = chains.repeated_passages(spark.createDataFrame(rows, COLUMNS)).collect()
+    assert all(r["doc_id"] == r["source_doc_id"] + 1 and r["similarity"] >= 0.8 for r in got)
+    assert len({r["doc_id"] for r in got}) >= least * 50
+
+
 def test_no_word_of_an_equal_run_is_lost(docs):
     lost, seen = uncovered(docs, chains.repeated_passages(docs).collect())
     assert seen and not lost
