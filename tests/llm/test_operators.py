@@ -199,6 +199,15 @@ def test_language_id(docs, messy, nothing):
     assert langid.identify(nothing).count() == 0
 
 
+def test_language_without_labels_or_with_repeats(spark):
+    rows = [(1, "some words", None, "s", 0), (2, " 12 ", None, "s", 0), (3, None, None, "s", 0)]
+    df = spark.createDataFrame(rows, COLUMNS)
+    assert langid.fit(df) is None
+    assert [r["doc_id"] for r in langid.keep_known(df, None, 0.4).collect()] == [1]
+    same = spark.createDataFrame([(1, "one two three", "en", "s", 0)] * 50, COLUMNS)
+    assert langid.sample_windows(same, 8, 40) == langid.sample_windows(same.limit(1), 8, 40)
+
+
 # 5
 @pytest.mark.parametrize("name", ["messy", "docs", "nothing"])
 @pytest.mark.parametrize("words", [0, 200, 50_000])

@@ -176,7 +176,9 @@ def sample_windows(docs: DataFrame, documents: int, per_document: int) -> list[t
             window += own
         yield {"lang": lang, "window": window}
 
-    rows = mapped(known.join(chosen, ["lang", "h"]).select("lang", "text"), "lang string, window binary", each)
+    # Rows that share a hash give one text, so that repeated ones don't widen the sample.
+    one = known.join(chosen, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    rows = mapped(one.select("lang", "text"), "lang string, window binary", each)
     return sorted((r["lang"], bytes(r["window"])) for r in rows.collect())
 
 
@@ -255,11 +257,17 @@ def predict(docs: DataFrame, network: BiGRU | None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, network: BiGRU | None, least: float) -> DataFrame:
-    """The rows, all columns, whose text has a language with a score of at least ``least``."""
+    """The rows, all columns, whose text has a language with a score of at least ``least``.
+
+    Without a network no language is known: then the rows with a letter.
+    """
 
     def run(batches):
-        predictor = Predictor(network) if network else _nothing
+        predictor = Predictor(network) if network else None
         for batch in slices(batches):
+            if predictor is None:
+                yield batch.filter(pa.array([has_letter(t) for t in strings(batch.column("text"))], pa.bool_()))
+                continue
             pred, score = predictor(strings(batch.column("text")))
             yield batch.filter(pa.array([p != UNDEFINED and s >= least for p, s in zip(pred, score)], pa.bool_()))
 
