@@ -493,6 +493,20 @@ def test_passages_are_cut_once(spark, messy, nothing):
     assert chains.without_repeats(nothing).count() == 0
 
 
+def test_long_gaps_are_compared_whole():
+    rng = random.Random(3)
+    for _ in range(200):
+        a, b = ([rng.choice(b"abcd") for _ in range(rng.randrange(12))] for _ in range(2))
+        row = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, u in enumerate(a):
+            for j, v in enumerate(b):
+                row[i + 1][j + 1] = row[i][j] + 1 if u == v else max(row[i][j + 1], row[i + 1][j])
+        assert chains._common(a, b) == row[-1][-1]
+    a = [b"%d" % i for i in range(142)]
+    b = [*a[:50], b"new", *a[50:]]
+    assert chains.align(a, b, [(0, 0), (136, 137)]) == [(0, 142, 0, 143, 142)]
+
+
 def test_chain_and_cut():
     x = np.array([0, 6, 12, 40, 50, 200])
     y = np.array([100, 106, 113, 20, 151, 300])
