@@ -201,7 +201,7 @@ def test_long_members_come_in_batches(spark, monkeypatch):
     monkeypatch.setattr(archives, "_BATCH_LINES", 10)
     text = "".join(f"{i}\n" for i in range(95))
     frame = pd.DataFrame({"path": ["a.zip"], "content": [zipped(a__csv=text)]})
-    batches = list(archives._lines(iter([frame])))
+    batches = list(archives._lines("utf-8")(iter([frame])))
     assert [len(b) for b in batches] == [10] * 9 + [5]
     assert [int(v) for b in batches for v in b["line"]] == list(range(95))
 

@@ -36,6 +36,42 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark can write one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Tables:
+    """Written tables of one computation, deleted once nothing reads them any more.
+
+    Writing a name again replaces its table: the earlier one may be read while the new
+    one is written, and is deleted then. As a context, all that is left goes at its end;
+    a result that is still to be read belongs to ``materialize``.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(self.spark, name)
+        df.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.paths:
+                remove(self.spark, self.paths.pop(name))
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.drop(*list(self.paths))
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written."""
     path = fresh_path(df.sparkSession, name)
