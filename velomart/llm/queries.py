@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from velomart.llm import (
+    adaptive_codes,
     chains,
     langid,
     lexicon,
     licenses,
+    merkle,
     omh,
     packing,
     quality,
+    ranking,
     simple8b,
     tokens,
     toxicity,
@@ -39,6 +42,9 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": lambda s, d: chains.repeated_passages(docs(s, d)),
         "op9_document_fingerprints": lambda s, d: omh.fingerprints(docs(s, d)),
         "op10_toxicity": lambda s, d: toxicity.toxicity(docs(s, d), labels(s, d)),
+        "op11_vector_codes": lambda s, d: adaptive_codes.compress(table(s, d, "embeddings")),
+        "op12_merkle_manifest": lambda s, d: merkle.manifest(docs(s, d)),
+        "op13_quality_ranking": lambda s, d: ranking.classify(docs(s, d), labels(s, d)),
     }
 
 
