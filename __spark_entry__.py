@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velomart import fixtures
+from velomart.functions.checksum import checksum_sql
 from velomart.functions.dates import mixed_date, month_bucket
 from velomart.functions.names import last_segment
 from velomart.operators import enrich, filters, pairs
 from velomart.plans.mart import build_mart
-from velomart.plans.publish import run_all
+from velomart.plans import rollups
+from velomart.plans.publish import published, run_all
 from velomart.plans.reports import REPORTS, preview
 from velomart.schema import TRIP_FILE
 from velomart.sinks.mart import write_mart
@@ -21,7 +23,7 @@ from velomart.sources.archives import unpack_archives
 from velomart.sources.mart import read_mart
 from velomart.sources.pages import extract_links
 from velomart.sources.trips import classify_files, read_stations, read_trips
-from velomart.workspace import fresh_path
+from velomart.workspace import fresh_path, scope
 
 try:
     import corpus_pipeline
@@ -127,24 +129,27 @@ def _join_stations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run_all(spark: SparkSession, sf: str) -> DataFrame:
-    """Publish everything from a landed mart, then count what was published."""
+    """Publish everything from a landed mart: rows and checksum of what was published."""
     folder = fresh_path(spark, "reports")
     mart = fresh_path(spark, "mart")
-    write_mart(_built(spark, sf), mart)
-    tables = run_all(
-        read_mart(spark, mart), parquet_sink(folder), pass_type=fixtures.PASS_TYPE
+    with scope(spark):
+        write_mart(_built(spark, sf), mart)
+        tables = run_all(
+            read_mart(spark, mart), parquet_sink(folder), pass_type=fixtures.PASS_TYPE
+        )
+    return published(spark, folder, tables)
+
+
+def _shared_bikes(spark: SparkSession, sf: str) -> DataFrame:
+    """Bikes by type and by category, both from one table of bitmaps."""
+    maps = rollups.bike_bitmaps(fixtures.trips(spark, sf))
+    by_type = rollups.bikes_by_type_month(maps).withColumnRenamed("bike_type", "value")
+    by_category = rollups.bikes_by_category_month(maps).withColumnRenamed(
+        "trip_route_category", "value"
+    )
+    return by_type.withColumn("kind", F.lit("type")).unionByName(
+        by_category.withColumn("kind", F.lit("category"))
     )
-    counts = [
-        spark.read.parquet(f"{folder}/{table}")
-        .groupBy()
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(key).alias("report"), "n_rows")
-        for key, table in tables.items()
-    ]
-    published = counts[0]
-    for more in counts[1:]:
-        published = published.union(more)
-    return published
 
 
 def queries() -> dict[str, Query]:
@@ -180,6 +185,7 @@ def _own_queries() -> dict[str, Query]:
         "build_mart": _built,
         "sink_mart": _sink_mart,
         "run_all": _run_all,
+        "bikes_shared": _shared_bikes,
         "parse_mixed_dates": _mixed_dates,
         "month_bucket": _over_trips(
             lambda t: t.select(
@@ -397,6 +403,28 @@ from trips group by 1,2""",
     }
 
 
+# Columns of the published tables; fractions are compared in millionths.
+_REPORT_COLUMNS = {
+    "r1": "month_year total_trip",
+    "r2": "month_year pass_type trip_count",
+    "r3": "month_year start_station start_station_name monthly_pass_total",
+    "r4": "start_station start_station_name No_of_LongDuration_ride",
+    "r5": "month_year bike_type total_bike",
+    "r6": "trip_route_category total_bike month_year",
+    "r7": "bike_type trip_route_category total_trip",
+    "r8": "bike_type total_duration",
+    "r9": _DETAIL.replace(",", " "),
+    "r10": _DETAIL.replace(",", " "),
+    "r11": "start_station_name start_station bike_type total_bike",
+    "r12": "start_station_name end_station_name bike_type",
+    "r13": "start_station_name end_station_name avg duration bike_type",
+    "r14": "bike_type delay_percentage",
+    "r15": "bike_type good_percentage",
+    "r16": "start_station end_station min_duration",
+}
+_FRACTIONS = ("avg", "delay_percentage", "good_percentage")
+
+
 def _preview_sql() -> dict[str, str]:
     """The first twenty rows in reading order, ties ordered by all columns."""
     order = {
@@ -462,9 +490,15 @@ from trips group by 1,2""",
        max(duration) as max_duration
 from trips""",
         "distinct_pairs": "select distinct bike_id, bike_type from trips",
+        "bikes_shared": f"""select 'type' as kind, bike_type as value, {_MONTH} as month_year,
+       count(distinct bike_id) as total_bike
+from trips group by 2,3
+union all
+select 'category', trip_route_category, {_MONTH}, count(distinct bike_id)
+from trips where trip_route_category is not null group by 2,3""",
     }
-    published = "\nunion all ".join(
-        f"select '{key}' as report, count(*) as n_rows from ({sql}) {key}"
+    checksums = "\nunion all ".join(
+        f"select '{key}' as report, * from ({checksum_sql(sql, _REPORT_COLUMNS[key].split(), _FRACTIONS)}) {key}"
         for key, sql in _report_sql().items()
     )
     return {
@@ -480,7 +514,7 @@ where ordered_at >= timestamp '2001-01-01'""",
 from supplier join nation on s_nationkey=n_nationkey""",
         "build_mart": _BUILT + "select * from trips",
         "sink_mart": _BUILT + f"select *, {_MONTH} as month_year from trips",
-        "run_all": _BUILT + published,
+        "run_all": _BUILT + checksums,
         "classify_files": """select o_orderkey, file_name,
        case when contains(lower(file_name),'q')
             then case when contains(lower(file_name),'.csv') then 'trips' end

@@ -7,18 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velomart.operators.lookup import measured
-from velomart.operators.pairs import (
-    averages_of,
-    pair_durations,
-    shares_around_average,
-)
+from velomart import workspace
+from velomart.functions.checksum import checksum
 from velomart.plans.mart import build_mart_from_folder
 from velomart.plans.reports import MONTHLY_PASS, REPORTS
+from velomart.plans.rollups import shared_reports
 from velomart.sinks.mart import write_mart
 from velomart.sinks.reports import Sink
 from velomart.sources.mart import read_mart
-from velomart.workspace import materialize
 
 
 def run_all(
@@ -26,29 +22,32 @@ def run_all(
 ) -> dict[str, str]:
     """Hand every report to ``sink``; returns report key -> table name.
 
-    ``trips`` should be a landed mart, as each report scans it. What several of
-    them need is written first: the durations of the station pairs, which also
-    hold the overall extremes, and the shares around their averages.
+    ``trips`` should be a landed mart: it is scanned six times, once for each of what
+    the reports share. That is written first, and may be deleted when the sink has
+    written all reports (``workspace.scope``).
     """
-    durations = measured(pair_durations(trips), "pair-durations")
-    averages = averages_of(durations)
-    shares = materialize(shares_around_average(trips, averages), "shares")
-    longest = durations.df.select(F.col("greatest").alias("duration"))
-    shortest = durations.df.select(F.col("least").alias("duration"))
-    options = {
-        "r3": {"pass_type": pass_type},
-        "r4": {"durations": longest},
-        "r9": {"durations": longest},
-        "r10": {"durations": shortest},
-        "r13": {"averages": averages},
-        "r14": {"shares": shares},
-        "r15": {"shares": shares},
-    }
+    shared = shared_reports(trips, pass_type)
     for key, report in REPORTS.items():
-        sink(report.table, report.build(trips, **options.get(key, {})))
+        sink(report.table, shared[key])
     return {key: report.table for key, report in REPORTS.items()}
 
 
+def published(spark: SparkSession, folder: str, tables: dict[str, str]) -> DataFrame:
+    """What ``parquet_sink`` has published: ``report``, ``n_rows`` and ``checksum`` of each table.
+
+    The checksums are taken from the files, so they also say that what was written is
+    what is read.
+    """
+    found = [
+        checksum(spark.read.parquet(f"{folder}/{table}")).select(F.lit(key).alias("report"), "n_rows", "checksum")
+        for key, table in tables.items()
+    ]
+    every = found[0]
+    for one in found[1:]:
+        every = every.unionByName(one)
+    return every
+
+
 def publish_folder(
     spark: SparkSession,
     folder: str,
@@ -60,9 +59,11 @@ def publish_folder(
 ) -> dict[str, str]:
     """From a folder of trip and station files to all reports.
 
-    The files are parsed and joined once, into the mart; the reports read that.
+    The files are parsed and joined once, into the mart; the reports read that. Tables
+    written on the way are deleted at the end.
     """
-    write_mart(
-        build_mart_from_folder(spark, folder, recent_files, station_header), mart
-    )
-    return run_all(read_mart(spark, mart), sink, pass_type)
+    with workspace.scope(spark):
+        write_mart(
+            build_mart_from_folder(spark, folder, recent_files, station_header), mart
+        )
+        return run_all(read_mart(spark, mart), sink, pass_type)

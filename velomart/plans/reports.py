@@ -80,16 +80,16 @@ def stations_of_longest_rides(
     trips: DataFrame, k: int = 5, durations: DataFrame | None = None
 ) -> DataFrame:
     """Start stations with the most rides of the overall longest duration."""
-    return (
-        at_max(trips, "duration", durations)
-        .groupBy("start_station", "start_station_name")
-        .agg(F.count("trip_id").alias("No_of_LongDuration_ride"))
-        .orderBy(
-            _descending("No_of_LongDuration_ride"),
-            *_ascending("start_station", "start_station_name"),
-        )
-        .limit(k)
-    )
+    rides = at_max(trips, "duration", durations).groupBy("start_station", "start_station_name")
+    return most_long_rides(rides.agg(F.count("trip_id").alias("No_of_LongDuration_ride")), k)
+
+
+def most_long_rides(counted: DataFrame, k: int = 5) -> DataFrame:
+    """The first k stations by their counted rides of the longest duration."""
+    return counted.orderBy(
+        _descending("No_of_LongDuration_ride"),
+        *_ascending("start_station", "start_station_name"),
+    ).limit(k)
 
 
 def bikes_by_type_month(trips: DataFrame) -> DataFrame:
@@ -120,33 +120,35 @@ def duration_by_type(trips: DataFrame) -> DataFrame:
     return trips.groupBy("bike_type").agg(F.sum("duration").alias("total_duration"))
 
 
-def _details(trips: DataFrame, k: int) -> DataFrame:
+def first_details(trips: DataFrame, k: int = 5) -> DataFrame:
+    """The first k distinct ride details."""
     return trips.select(*DETAIL).distinct().orderBy(*_ascending(*DETAIL)).limit(k)
 
 
 def longest_ride_details(
     trips: DataFrame, k: int = 5, durations: DataFrame | None = None
 ) -> DataFrame:
-    return _details(at_max(trips, "duration", durations), k)
+    return first_details(at_max(trips, "duration", durations), k)
 
 
 def shortest_ride_details(
     trips: DataFrame, k: int = 5, durations: DataFrame | None = None
 ) -> DataFrame:
-    return _details(at_min(trips, "duration", durations), k)
+    return first_details(at_min(trips, "duration", durations), k)
 
 
 def station_bike_types(trips: DataFrame, k: int = 10) -> DataFrame:
     """Start stations and bike types with the most trips (rows, not bikes)."""
-    return (
-        trips.groupBy("start_station_name", "start_station", "bike_type")
-        .agg(F.count("bike_id").alias("total_bike"))
-        .orderBy(
-            _descending("total_bike"),
-            *_ascending("start_station", "bike_type", "start_station_name"),
-        )
-        .limit(k)
-    )
+    groups = trips.groupBy("start_station_name", "start_station", "bike_type")
+    return most_used(groups.agg(F.count("bike_id").alias("total_bike")), k)
+
+
+def most_used(counted: DataFrame, k: int = 10) -> DataFrame:
+    """The first k of counted start stations and bike types."""
+    return counted.orderBy(
+        _descending("total_bike"),
+        *_ascending("start_station", "bike_type", "start_station_name"),
+    ).limit(k)
 
 
 def bike_types_between_stations(trips: DataFrame) -> DataFrame:

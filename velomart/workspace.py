@@ -6,8 +6,11 @@ size that can be checked before anything is broadcast.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,8 +75,33 @@ class Tables:
         self.drop(*list(self.paths))
 
 
+_scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scope", default=None)
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Within it, tables of ``materialize`` are working tables: all are deleted at its end.
+
+    For jobs whose results are written elsewhere before it ends. Scopes may be nested;
+    a table belongs to the innermost.
+    """
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of what was written."""
+    """Write ``df`` to the shared folder and return a scan of what was written.
+
+    The table stays unless a ``scope`` is open, as the caller may read it at any time.
+    """
     path = fresh_path(df.sparkSession, name)
+    if (working := _scope.get()) is not None:
+        working.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
