@@ -226,3 +226,18 @@ def test_equal_and_keyless_rows(spark):
     pages = spark.createDataFrame([(1, html), (1, html), (1, html.replace("/a", "/b")), (None, html)], "page_id long, html string")
     got = sorted(map(tuple, extract_links(pages, "div", "data list").collect()), key=str)
     assert got == [(1, 0, "/a"), (1, 0, "/a"), (1, 0, "/b"), (None, 0, "/a")]
+
+
+def test_pages_are_folded_in_their_row(spark):
+    from frames import plan
+
+    pages = spark.createDataFrame([(1, "")], "page_id long, html string")
+    shown = plan(extract_links(pages, "nav"))
+    assert "Exchange" not in shown and "Window" not in shown
+
+
+def test_many_links(spark):
+    """More than a part of the state holds, and more than one waiting for some of them."""
+    n = 3_000
+    html = "<nav><ul>" + "".join(f'<li><ul><li><a href="/{i}">x</a></li></ul></li>' for i in range(n)) + "</ul></nav>"
+    assert links(spark, html, "nav", None) == [(k, f"/{k // 2}") for k in range(2 * n)]
