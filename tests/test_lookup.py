@@ -106,3 +106,53 @@ def test_hot_key_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(t["count"] for t in tasks) == 800
     assert len(tasks) > 1
+
+
+def test_hot_keys_of_several_columns_are_counted_in_one_scan(spark, monkeypatch):
+    """At a limit of 0 bytes the raw trips are read twice: for the counts and for the joins."""
+    import os
+    import re
+
+    from pyspark.sql import DataFrameWriter
+    from velomart import fixtures
+    from velomart.plans.mart import build_mart
+    from velomart.sources.trips import read_stations, read_trips
+
+    sf = "/root/testdata/sf0.001"
+    folder, other = fixtures.export_trips(spark, sf), fixtures.export_trips(spark, sf)
+    stations = read_stations(spark, fixtures.export_stations(fixtures.station_table(spark, sf)))
+    recent = read_trips(spark, fixtures.recent_files(other))
+    expected = rows(build_mart(read_trips(spark, folder), recent, stations))
+    plans, plain = [], DataFrameWriter.parquet
+
+    def writing(writer, *args, **more):
+        plans.append(plan(writer._df))
+        return plain(writer, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", writing)
+    built = build_mart(read_trips(spark, folder), recent, stations, 0, 0.01)
+    plans.append(plan(built))
+    scans = sum(len(re.findall(rf"Location: .*{os.path.basename(folder)}", p)) for p in plans)
+    assert scans == 2
+    assert "_part" in plans[-1]
+    assert rows(built) == expected
+
+
+def test_hot_keys_are_those_above_the_share(spark):
+    from velomart.operators.lookup import hot_keys
+
+    fact = skewed(spark)
+    found = hot_keys(fact, ["k", "v", "k"], 0.2)
+    assert rows(found["k"]) == [("hot", 2)]  # 400 of 1100 rows, 220 a part
+    assert rows(found["v"]) == [(1, 2)]
+    assert hot_keys(fact, []) == {}
+    assert rows(hot_keys(fact.limit(0), ["k"], 0.2)["k"]) == []
+
+
+def test_nested_columns_are_not_sent_around(spark):
+    nested = measured(spark.createDataFrame([("k1", [1, 2])], "k string, t array<int>"))
+    assert nested.bytes > lookup.BROADCAST_BYTES
+    assert rows(lookup_join(skewed(spark).filter("v = 1"), nested, ["k"]).select("k", "t")) == [("k1", [1, 2])]
+    short = measured(spark.createDataFrame([("k", b"x")], "k string, t binary"))
+    long = measured(spark.createDataFrame([("k", b"x" * 5000)], "k string, t binary"))
+    assert long.bytes - short.bytes == 4999

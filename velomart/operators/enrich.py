@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,12 +43,23 @@ def join_bike_type(
     Trips of a bike not seen there are dropped, those of a bike seen with two
     types are doubled, and a type the trip file itself carries is ignored.
     """
+    return with_bike_type(trips, written_types(recent), broadcast_bytes, hot_share)
+
+
+def written_types(recent: DataFrame) -> Lookup:
+    return measured(bike_types(recent), "bike-types")
+
+
+def with_bike_type(
+    trips: DataFrame,
+    types: Lookup,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    hot_share: float = HOT_SHARE,
+    hot: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """The same from a written lookup, and with its hot keys where they are known."""
     return lookup_join(
-        trips.drop("bike_type"),
-        measured(bike_types(recent), "bike-types"),
-        ["bike_id"],
-        broadcast_bytes,
-        hot_share,
+        trips.drop("bike_type"), types, ["bike_id"], broadcast_bytes, hot_share, hot=(hot or {}).get("bike_id")
     )
 
 
@@ -60,17 +73,33 @@ def join_stations(
 
     The station table is written and measured once, then joined in two roles.
     """
-    names = measured(stations.select("station_id", "station_name"), "stations")
+    return with_stations(trips, written_names(stations), broadcast_bytes, hot_share)
+
+
+def written_names(stations: DataFrame) -> Lookup:
+    return measured(stations.select("station_id", "station_name"), "stations")
+
+
+def with_stations(
+    trips: DataFrame,
+    names: Lookup,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    hot_share: float = HOT_SHARE,
+    hot: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """The same from a written lookup, and with the hot keys of both roles where they are known."""
     for role in ("start", "end"):
+        key = f"{role}_station"
         in_role = names.df.select(
-            F.col("station_id").alias(f"{role}_station"),
-            F.col("station_name").alias(f"{role}_station_name"),
+            F.col("station_id").alias(key),
+            F.col("station_name").alias(f"{key}_name"),
         )
         trips = lookup_join(
             trips,
             Lookup(in_role, names.rows, names.bytes),
-            [f"{role}_station"],
+            [key],
             broadcast_bytes,
             hot_share,
+            hot=(hot or {}).get(key),
         )
     return trips

@@ -9,6 +9,7 @@ with the hot keys of the fact spread over several tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -39,11 +40,17 @@ class Lookup:
 
     df: DataFrame
     rows: int
-    bytes: int
+    bytes: float
+
+
+def _has_bounded_rows(df: DataFrame) -> bool:
+    """Whether a row's memory follows from its text, bytes and number of columns."""
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    return not any(isinstance(f.dataType, nested) for f in df.schema)
 
 
 def _row_size(df: DataFrame) -> Column:
-    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    text = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     size = F.lit(_ROW_BYTES + 8 * len(df.columns)).cast("long")
     for name in text:
         size = size + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
@@ -51,7 +58,10 @@ def _row_size(df: DataFrame) -> Column:
 
 
 def measured(df: DataFrame, name: str = "lookup") -> Lookup:
-    """Write a lookup once, counting its rows and bytes in the same job."""
+    """Write a lookup once, counting its rows and bytes in the same job.
+
+    Nested columns are not measured: such a lookup counts as too large to be sent around.
+    """
     seen = Observation()
     written = workspace.materialize(
         df.observe(
@@ -61,7 +71,40 @@ def measured(df: DataFrame, name: str = "lookup") -> Lookup:
         ),
         name,
     )
-    return Lookup(written, seen.get["rows"], seen.get["bytes"])
+    return Lookup(written, seen.get["rows"], seen.get["bytes"] if _has_bounded_rows(df) else math.inf)
+
+
+def hot_keys(
+    fact: DataFrame, columns: Sequence[str], hot_share: float = HOT_SHARE
+) -> dict[str, DataFrame]:
+    """For each column its values with more than ``hot_share`` of the fact, and their parts.
+
+    All columns are counted in one scan, before any join; a join in between changes how
+    many rows a part holds, not what is joined.
+    """
+    if not columns:
+        return {}
+    names = list(dict.fromkeys(columns))
+    counts = workspace.materialize(
+        fact.select(*names)
+        .groupingSets([[F.col(c)] for c in names], *map(F.col, names))
+        .agg(*(F.grouping(c).alias(f"_without_{c}") for c in names), F.count(F.lit(1)).alias("_n")),
+        "key-counts",
+    )
+    found = {}
+    for c in names:
+        of = counts.filter((F.col(f"_without_{c}") == 0) & F.col(c).isNotNull()).select(c, "_n")
+        found[c] = _hot(of, [c], hot_share)
+    return found
+
+
+def _hot(counts: DataFrame, on: list[str], hot_share: float) -> DataFrame:
+    """Keys that are split, with how many parts each gets."""
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    part_rows = max(1.0, total * hot_share)
+    return counts.filter(F.col("_n") > part_rows).select(
+        *on, F.ceil(F.col("_n") / part_rows).alias("_parts")
+    )
 
 
 def lookup_join(
@@ -71,24 +114,31 @@ def lookup_join(
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
     how: str = "inner",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner or left equi-join; columns of the fact first, then those of the lookup.
 
     A key that the lookup holds twice doubles its fact rows. NULL keys match
-    nothing.
+    nothing. ``hot`` are the keys to split, with their parts (``hot_keys``), if they
+    are known; else a shuffled join counts them first.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     if lookup.bytes <= broadcast_bytes:
         joined = fact.join(F.broadcast(lookup.df), list(on), how)
     else:
-        joined = _spread_join(fact, lookup.df, list(on), hot_share, how)
+        joined = _spread_join(fact, lookup.df, list(on), hot_share, how, hot)
     added = [c for c in lookup.df.columns if c not in on]
     return joined.select(*fact.columns, *added)
 
 
 def _spread_join(
-    fact: DataFrame, lookup: DataFrame, on: list[str], hot_share: float, how: str
+    fact: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    hot_share: float,
+    how: str,
+    hot: DataFrame | None,
 ) -> DataFrame:
     """Shuffle join in which each hot key of the fact is split into parts.
 
@@ -100,17 +150,13 @@ def _spread_join(
     """
     if how == "inner":
         fact = fact.dropna(subset=on)
-    counts = workspace.materialize(
-        fact.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")),
-        "key-counts",
-    )
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    part_rows = max(1.0, total * hot_share)
-    hot = F.broadcast(
-        counts.filter(F.col("_n") > part_rows).select(
-            *on, F.ceil(F.col("_n") / part_rows).alias("_parts")
+    if hot is None:
+        counts = workspace.materialize(
+            fact.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")),
+            "key-counts",
         )
-    )
+        hot = _hot(counts, on, hot_share)
+    hot = F.broadcast(hot)  # 1 / hot_share rows at most
     content = F.xxhash64(F.spark_partition_id(), *fact.columns)
     has_null = reduce(or_, (F.col(key).isNull() for key in on))
     spread = fact.join(hot, on, "left").withColumn(

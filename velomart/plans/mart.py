@@ -6,16 +6,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from velomart.operators.enrich import join_bike_type, join_stations, parse_times
+from velomart.operators.enrich import (
+    parse_times,
+    with_bike_type,
+    with_stations,
+    written_names,
+    written_types,
+)
+from velomart.operators.lookup import BROADCAST_BYTES, HOT_SHARE, hot_keys
 from velomart.sources.trips import read_stations, read_trips
 
 
-def build_mart(trips: DataFrame, recent: DataFrame, stations: DataFrame) -> DataFrame:
+def build_mart(
+    trips: DataFrame,
+    recent: DataFrame,
+    stations: DataFrame,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    hot_share: float = HOT_SHARE,
+) -> DataFrame:
     """Enriched trips: dates, the bike's type, both station names.
 
-    ``recent`` are the trips that say which type a bike has.
+    ``recent`` are the trips that say which type a bike has. The lookups are written
+    first. Keys of those that are too large to be sent to the trips are counted in one
+    scan of the trips, before any join; the joins then are a second one.
     """
-    return join_stations(join_bike_type(parse_times(trips), recent), stations)
+    types, names = written_types(recent), written_names(stations)
+    large = ["bike_id"] if types.bytes > broadcast_bytes else []
+    large += ["start_station", "end_station"] if names.bytes > broadcast_bytes else []
+    hot = hot_keys(trips, large, hot_share)
+    typed = with_bike_type(parse_times(trips), types, broadcast_bytes, hot_share, hot)
+    return with_stations(typed, names, broadcast_bytes, hot_share, hot)
 
 
 def build_mart_from_folder(
