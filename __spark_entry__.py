@@ -20,10 +20,10 @@ from velomart.schema import TRIP_FILE
 from velomart.sinks.mart import write_mart
 from velomart.sinks.reports import parquet_sink
 from velomart.sources.archives import unpack_archives
-from velomart.sources.mart import read_mart
+from velomart.sources.mart import read_extremes, read_mart
 from velomart.sources.pages import extract_links
 from velomart.sources.trips import classify_files, read_stations, read_trips
-from velomart.workspace import fresh_path, scope
+from velomart.workspace import fresh_path, materialize, scope
 
 try:
     import corpus_pipeline
@@ -128,6 +128,17 @@ def _join_stations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _mart_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    """A mart written whole, then its months from 1995 on written again by themselves."""
+    path = fresh_path(spark, "mart")
+    with scope(spark):
+        built = materialize(_built(spark, sf), "built")
+        write_mart(built, path)
+        later = built.filter(F.col("start_station_time") >= F.lit("1995-01-01").cast("date"))
+        write_mart(later.filter("duration > 5"), path, keep_other_months=True)
+    return read_extremes(spark, path)
+
+
 def _run_all(spark: SparkSession, sf: str) -> DataFrame:
     """Publish everything from a landed mart: rows and checksum of what was published."""
     folder = fresh_path(spark, "reports")
@@ -184,6 +195,7 @@ def _own_queries() -> dict[str, Query]:
         "url_file_name": _url_file_name,
         "build_mart": _built,
         "sink_mart": _sink_mart,
+        "mart_extremes": _mart_extremes,
         "run_all": _run_all,
         "bikes_shared": _shared_bikes,
         "parse_mixed_dates": _mixed_dates,
@@ -514,6 +526,12 @@ where ordered_at >= timestamp '2001-01-01'""",
 from supplier join nation on s_nationkey=n_nationkey""",
         "build_mart": _BUILT + "select * from trips",
         "sink_mart": _BUILT + f"select *, {_MONTH} as month_year from trips",
+        "mart_extremes": _BUILT
+        + f"""select {_MONTH} as month_year, min(duration) as least, max(duration) as greatest,
+       count(*) as trips
+from trips
+where start_station_time < date '1995-01-01' or start_station_time is null or duration > 5
+group by 1""",
         "run_all": _BUILT + checksums,
         "classify_files": """select o_orderkey, file_name,
        case when contains(lower(file_name),'q')

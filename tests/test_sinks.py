@@ -129,3 +129,69 @@ def test_local_sessions_get_one_temporary_folder():
 def test_paths_are_never_reused(spark):
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
     assert workspace.fresh_path(spark, "a").startswith(work_dir(spark))
+
+
+def mart_rows(spark, *rows):
+    from datetime import date
+
+    from frames import trips
+
+    made = [{"trip_id": i, "start_station_time": d and date(*d), "duration": n} for i, d, n in rows]
+    return trips(spark, *made)
+
+
+def test_one_new_month_leaves_the_others_untouched(spark):
+    from velomart.sources.mart import read_extremes, read_mart
+
+    path = fresh_path(spark, "mart")
+    write_mart(mart_rows(spark, (1, (2021, 1, 2), 5), (2, (2021, 2, 3), 9), (3, None, 1), (4, (2021, 2, 4), None)), path)
+    files = lambda: {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("month_year")}
+    before = files()
+    write_mart(mart_rows(spark, (5, (2021, 2, 9), 40), (6, (2021, 3, 9), 3)), path, keep_other_months=True)
+    after = files()
+    new = "month_year=2021-02-01", "month_year=2021-03-01"
+    assert {k: v for k, v in after.items() if k not in new} == {k: v for k, v in before.items() if k != new[0]}
+    assert rows(read_mart(spark, path).select("trip_id")) == [(1,), (3,), (5,), (6,)]
+    found = {str(r.month_year): (r.least, r.greatest, r.trips) for r in read_extremes(spark, path).collect()}
+    assert found == {"2021-01-01": (5, 5, 1), "2021-02-01": (40, 40, 1), "2021-03-01": (3, 3, 1), "None": (1, 1, 1)}
+
+
+def test_extremes_come_from_the_mart_while_the_summary_does_not_fit(spark, monkeypatch):
+    from velomart.sinks import mart
+    from velomart.sources.mart import read_extremes
+
+    path = fresh_path(spark, "mart")
+    write_mart(mart_rows(spark, (1, (2021, 1, 2), 5)), path)
+
+    def broken(trips):
+        raise RuntimeError
+
+    monkeypatch.setattr(mart, "month_extremes", broken)
+    for keep, duration in ((True, 8), (False, 9)):
+        with pytest.raises(RuntimeError):
+            write_mart(mart_rows(spark, (1, (2021, 1, 2), duration)), path, keep)
+        assert [r.greatest for r in read_extremes(spark, path).collect()] == [duration]
+
+
+def test_longest_rides_read_the_summary_not_the_trips(spark):
+    import re
+
+    from frames import plan
+    from velomart import fixtures
+    from velomart.plans.reports import REPORTS
+    from velomart.sources.mart import read_extremes
+
+    path = fresh_path(spark, "mart")
+    df = fixtures.trips(spark, "/root/testdata/sf0.001")
+    for _ in range(2):  # and again after a rewrite
+        write_mart(df, path)
+        mart = spark.read.parquet(path)
+        extremes = read_extremes(spark, path)
+        for key, of in (("r4", "greatest"), ("r9", "greatest"), ("r10", "least")):
+            durations = extremes.select(F.col(of).alias("duration"))
+            report = REPORTS[key].build(mart, durations=durations)
+            assert rows(report) == rows(REPORTS[key].build(mart)), key
+            scans = re.findall(r"ReadSchema: struct<(.*)>", plan(report))
+            # Of the trips the report's own columns, and the extremes; never their durations alone.
+            assert f"{of}:int" in scans and "duration:int" not in scans, (key, scans)
+        df = df.where("duration between 4 and 30")

@@ -1,25 +1,57 @@
-"""The enriched trips as month-partitioned Parquet."""
+"""The enriched trips as month-partitioned Parquet, with a summary beside them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from velomart import workspace
 from velomart.functions.dates import month_bucket
+from velomart.sources.mart import STALE, SUMMARY, month_extremes
 
 
-def write_mart(trips: DataFrame, path: str) -> None:
+def write_mart(trips: DataFrame, path: str, keep_other_months: bool = False) -> None:
     """Overwrite ``path`` with the trips, one folder per start month.
 
-    Without the rebalance every task would open a file in every month. With it
+    With ``keep_other_months`` only the folders of months that the trips have are
+    replaced. Without the rebalance every task would open a file in every month. With it
     each month is gathered into files of the advisory partition size: adaptive
     execution cuts a month that is too large into several tasks and packs small
     ones together, so one hot month is no straggler.
+
+    Beside the months, in a folder that scans of the mart pass over, lies the least and
+    greatest duration of each. It is taken from the months just written, one narrow
+    column of them. A marker says so while it does not fit the mart, also if the job ends
+    in between.
     """
+    spark = trips.sparkSession
+    seen, month = Observation(), F.col("month_year")
+    rows = trips.withColumn("month_year", month_bucket(F.col("start_station_time"))).observe(
+        seen, F.collect_set(month).alias("months"), F.count_if(month.isNull()).alias("undated")
+    )
+    if keep_other_months:
+        workspace.touch(spark, f"{path}/{STALE}")
     (
-        trips.withColumn("month_year", month_bucket(F.col("start_station_time")))
-        .hint("rebalance", "month_year")
+        rows.hint("rebalance", "month_year")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if keep_other_months else "static")
         .partitionBy("month_year")
         .parquet(path)
     )
+    if "duration" not in trips.columns:
+        return
+    written = spark.read.schema(rows.schema).parquet(path)
+    fresh = month.isin(*seen.get["months"])
+    if seen.get["undated"]:
+        fresh = fresh | month.isNull()
+    if not keep_other_months:
+        workspace.touch(spark, f"{path}/{STALE}")
+    (
+        month_extremes(written.where(fresh))
+        .coalesce(1)  # a row a month
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month_year")
+        .parquet(f"{path}/{SUMMARY}")
+    )
+    workspace.remove(spark, f"{path}/{STALE}")

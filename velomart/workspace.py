@@ -39,10 +39,27 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path and the path as it knows it."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there
+
+
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder, wherever Spark can write one."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    """Delete a file or folder, wherever Spark can write one."""
+    files, there = _file_system(spark, path)
+    files.delete(there, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, there = _file_system(spark, path)
+    return files.exists(there)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    files, there = _file_system(spark, path)
+    files.create(there, True).close()
 
 
 class Tables:
