@@ -1,0 +1,53 @@
+"""Models and files that must not depend on how rows are dealt out."""
+
+import numpy as np
+
+from velomart.llm import simple8b, toxicity
+from velomart.llm.text import table
+from velomart.workspace import materialize
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_lexicon_does_not_depend_on_partitions(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    sample = materialize(toxicity.learnable(docs, labels, 300, 600), "sample")
+    found = [toxicity.lexicon(sample.repartition(n), 3, 1.5, 4_000) for n in (1, 4, 16)]
+    assert len(found[0]) > 50
+    assert found[0] == found[1] == found[2]
+
+
+def test_lexicon_equals_plain_counts(spark):
+    rows = [(i, 1, f"some trash vile talk {i} vile{i % 3}") for i in range(12)] + [(50, 1, "some trash vile talk 0 vile0")]
+    rows += [(100 + i, 0, f"some nice talk {i} kind{i % 4}") for i in range(20)]
+    sample = spark.createDataFrame(rows, "doc_id long, toxic int, text string")
+    seen, toxic, clean = set(), {}, {}
+    for _, kind, text in sorted(rows):
+        words = toxicity.fold(text).split()
+        if kind:
+            company = list(zip(["", *words], words, [*words[1:], ""]))
+            words = [w for w, c in zip(words, company) if c not in seen]
+            seen.update(company)
+        for term in toxicity.terms(set(words)):
+            (toxic if kind else clean)[term] = (toxic if kind else clean).get(term, 0) + 1
+    want = {}
+    for term, n in toxic.items():
+        weight = np.log((n - n**0.5 + 0.5) / 14) - np.log((clean.get(term, 0) + 0.5) / 21)
+        if n >= 2 and weight >= 0.1:
+            want[term] = weight
+    got = toxicity.lexicon(sample, 2, 0.1, 10_000)
+    assert got.keys() == want.keys()
+    assert all(abs(got[t] - want[t]) < 1e-9 for t in want)
+
+
+def test_parts_of_a_record_are_read_by_its_block_offsets():
+    rng = np.random.default_rng(4)
+    for n in (1, 4095, 4096, 4097, 30_000):
+        ids = rng.integers(0, 1 << rng.integers(1, 62), n).astype(np.uint64)
+        ids[rng.random(n) < 0.01] = (1 << 63) + 5
+        data = simple8b.record([1, None], ids, np.array([n // 2, n - n // 2]), 0, 0)
+        ((at, head),) = simple8b.records(data + b"\n")
+        for _ in range(30):
+            a, b = sorted(rng.integers(0, n + 1, 2))
+            assert (simple8b.ids_between(data, at, head, a, b) == ids[a:b]).all()
+        assert (simple8b.ids_between(data, at, head, -5, n + 9) == ids).all()

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from velomart.llm.text import batch_of, slices, strings, to_arrow
 from velomart.llm.tokens import encoder
-from velomart.workspace import fresh_path
+from velomart.workspace import fresh_path, materialize
 
 BLOCK = 4096
 RECORD_IDS = 1 << 17
@@ -56,18 +56,19 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         tail = tail[tail >= np.repeat(starts, c - 1)]
         room = np.minimum((tail // BLOCK + 1) * BLOCK, n) - tail
         best[tail] = np.array([next((s for s in range(widest, 16) if COUNTS[s] <= r), 15) for r in range(c + 1)])[room]
+    fits = np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64)
     for s in range(widest - 1 if BITS[widest] >= top else 15, 0, -1):  # a denser selector takes over where it fits
-        fits = np.flatnonzero(narrow < (1 << int(BITS[s])))
+        fits = fits[narrow[fits] < (1 << int(BITS[s]))]  # ids that fit less room are among those that fit more
         c = int(COUNTS[s])
         if len(fits) < c:
             continue
         head = fits[: len(fits) - c + 1][fits[c - 1 :] - fits[: len(fits) - c + 1] == c - 1]
         best[head[(head & (BLOCK - 1)) + c <= BLOCK]] = s
-    jump = (np.arange(n) + COUNTS[best]).tolist()
+    count = COUNTS[best].astype(np.uint8).tobytes()
     heads, i = [], 0
     while i < n:
         heads.append(i)
-        i = jump[i]
+        i += count[i]
     heads = np.array(heads)
     chosen = best[heads]
     size = np.where(chosen == 0, 2, 1)
@@ -146,6 +147,19 @@ def documents(data: bytes, at: int, head: np.ndarray):
     return doc_ids, null, np.split(ids, np.cumsum(sizes)[:-1])
 
 
+def ids_between(data: bytes, at: int, head: np.ndarray, first: int, last: int) -> np.ndarray:
+    """Ids ``first`` to ``last`` (not included) of a record: only the blocks that hold them are decoded."""
+    _, _, _, n, n_ids, blocks, n_words = map(int, head)
+    at += 8 * n + n + -n % 8 + 8 * n
+    places = np.frombuffer(data, np.int64, blocks + 1, at)
+    first, last = max(first, 0), min(last, n_ids)
+    if first >= last:
+        return np.zeros(0, np.uint64)
+    low, high = first // BLOCK, -(-last // BLOCK)
+    words = np.frombuffer(data, np.uint64, int(places[high] - places[low]), at + 8 * (blocks + 1) + 8 * int(places[low]))
+    return unpack(words)[first - low * BLOCK : last - low * BLOCK]
+
+
 def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_ID) -> None:
     """Encode every text, in ascending doc_id (null first; equal ones by text), and write the files."""
     schema = "record binary"
@@ -153,7 +167,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int =
     def run(batches):
         enc, arrow = encoder(vocabulary), to_arrow(schema)
         part, before = TaskContext.get().partitionId(), 0
-        keys, runs, sizes = [], [], []
+        keys, runs, sizes, total = [], [], [], 0
 
         def flush():
             made = record(keys, np.concatenate(runs) if runs else np.zeros(0), np.array(sizes), part, before)
@@ -166,10 +180,11 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int =
                 keys.append(doc_id)
                 runs.append(one)
                 sizes.append(len(one))
-                if sum(sizes) >= RECORD_IDS if len(sizes) % 64 == 0 or len(one) > BLOCK else False:
+                total += len(one)
+                if total >= RECORD_IDS:
                     yield flush()
-                    before += sum(sizes)
-                    keys, runs, sizes = [], [], []
+                    before += total
+                    keys, runs, sizes, total = [], [], [], 0
         if keys:
             yield flush()
 
@@ -186,14 +201,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int =
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per document of the files: doc_id, start, n_tokens, ids_crc32."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    heads, rows = "part long, n long", "part long, doc_id long, inner long, n_tokens long, ids_crc32 long"
-
-    def sizes(batches):
-        arrow = to_arrow(heads)
-        for batch in batches:
-            for data in batch.column(0):
-                found = [h for _, h in records(memoryview(data.as_buffer()))]
-                yield batch_of({"part": [int(h[1]) for h in found], "n": [int(h[4]) for h in found]}, arrow)
+    rows = "part long, doc_id long, inner long, n_tokens long, ids_crc32 long"
 
     def decode(batches):
         arrow = to_arrow(rows)
@@ -211,14 +219,14 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                         "ids_crc32": [zlib.crc32(x.astype("<u4").tobytes()) for x in ids],
                     }, arrow)
 
-    totals = files.mapInArrow(sizes, heads).groupBy("part").agg(F.sum("n").alias("n"))
+    # The files are read once; what is needed twice are the numbers of each document.
+    decoded = materialize(files.mapInArrow(decode, rows), "decoded")
+    totals = decoded.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     # A row for each part that was written, which is far fewer than documents.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
-    return (
-        files.mapInArrow(decode, rows)
-        .join(F.broadcast(starts), "part")
-        .select("doc_id", (F.col("first") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32")
+    return decoded.join(F.broadcast(starts), "part").select(
+        "doc_id", (F.col("first") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 

@@ -14,6 +14,7 @@ Only doc_id, text and, for learning, labels are read.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velomart.llm.select import least
 from velomart.llm.text import Words, batch_of, mapped, slices, strings, to_arrow
 from velomart.workspace import materialize
 
@@ -39,7 +41,7 @@ EXCEPTIONS = ("clown fish", "trash can", "trash bin", "stupid simple", "pond scu
 GRAMS = (5, 6)
 LONGEST_WORD = 24
 #: Entries that a task counts before it passes them on.
-COUNTED = 400_000
+COUNTED = 80_000
 
 
 def _folding() -> dict[int, str]:
@@ -78,8 +80,8 @@ def learnable(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> Dat
     with a text before it is left out.
     """
     known = labels.where("toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
-    order = F.xxhash64("doc_id")
-    ids = known.where("toxic = 1").orderBy(order).limit(toxic).unionByName(known.where("toxic = 0").orderBy(order).limit(clean))
+    key, order = F.shiftright(F.xxhash64("doc_id"), 1), [F.xxhash64("doc_id")]
+    ids = least(known.where("toxic = 1"), key, order, toxic).unionByName(least(known.where("toxic = 0"), key, order, clean))
     drawn = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # toxic + clean rows at most
 
     def each(batch: pa.RecordBatch):
@@ -109,40 +111,27 @@ def learnable(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> Dat
 def lexicon(sample: DataFrame, least_docs: int, least_weight: float, size: int) -> dict[str, float]:
     """Terms that mark toxic texts of the sample, with their weights.
 
-    In toxic texts a word counts once in the same company (the words beside it), so that
-    a passage that is copied does not make its rare words look toxic. A term's count is
-    taken lower by its own uncertainty before it is weighed.
+    In toxic texts a word counts once in the same company (the words beside it), for the
+    text of least doc_id that has it, so that a passage that is copied does not make its
+    rare words look toxic. A term's count is taken lower by its own uncertainty before it is
+    weighed. Counts are sums over all texts, so the weights do not depend on how the texts
+    are dealt to tasks.
     """
-    schema = "term string, toxic long, clean long"
-
-    def run(batches):
-        arrow, found, company = to_arrow(schema), (Counter(), Counter()), set()
-
-        def counted():
-            both = list(found[0].keys() | found[1].keys())
-            return batch_of({"term": both, "toxic": [found[1][t] for t in both], "clean": [found[0][t] for t in both]}, arrow)
-
-        for batch in slices(batches):
-            for toxic, text in zip(batch.column("toxic").to_pylist(), strings(batch.column("text"))):
-                words = fold(text).split()
-                if toxic:
-                    beside = [hash(x) for x in zip(["", *words], words, [*words[1:], ""])]
-                    words, beside = [w for w, x in zip(words, beside) if x not in company], beside
-                    company.update(beside)
-                found[toxic].update(terms(set(words)))
-                if len(found[0]) + len(found[1]) > COUNTED:
-                    yield counted()
-                    found = (Counter(), Counter())
-        yield counted()
-
     totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(totals) < 2:
         return {}
     least_docs = max(least_docs, math.ceil(0.004 * totals[1]))
+    once = (
+        sample.where("toxic = 1").mapInArrow(_in_company, COMPANY)
+        .groupBy("company").agg(F.min(F.struct("doc_id", "text", "word")).alias("first")).select("first.*")
+        .groupBy("doc_id", "text").agg(F.collect_set("word").alias("words"))
+        .mapInArrow(_count_words("toxic"), COUNTS)
+    )
+    clean = sample.where("toxic = 0").select("text").mapInArrow(_count_words("clean"), COUNTS)
     sure = F.col("toxic") - F.sqrt("toxic")
     weight = F.log((sure + 0.5) / (totals[1] + 1)) - F.log((F.col("clean") + 0.5) / (totals[0] + 1))
     rows = (
-        sample.select("toxic", "text").coalesce(4).mapInArrow(run, schema)
+        once.unionByName(clean)
         .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where(F.col("toxic") >= least_docs)
         .withColumn("weight", weight)
@@ -153,6 +142,52 @@ def lexicon(sample: DataFrame, least_docs: int, least_weight: float, size: int)
     return {r["term"]: r["weight"] for r in rows}
 
 
+COMPANY = "doc_id long, text long, word string, company binary"
+COUNTS = "term string, toxic long, clean long"
+
+
+def _in_company(batches):
+    """Each word of a text with a digest of it and the words beside it; ``text`` tells texts of one doc_id apart."""
+    arrow = to_arrow(COMPANY)
+    for batch in slices(batches):
+        out = {"doc_id": [], "text": [], "word": [], "company": []}
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text"))):
+            words = fold(text).split()
+            number = int.from_bytes(_digest(text), "little", signed=True)
+            found = {_digest(f"{a} {w} {b}"): w for a, w, b in zip(["", *words], words, [*words[1:], ""])}
+            out["doc_id"] += [doc_id] * len(found)
+            out["text"] += [number] * len(found)
+            out["word"] += found.values()
+            out["company"] += found
+        yield batch_of(out, arrow)
+
+
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode(), digest_size=8).digest()
+
+
+def _count_words(kind: str):
+    """In how many texts each term is: of lists of folded words, or of texts."""
+
+    def run(batches):
+        arrow, found = to_arrow(COUNTS), Counter()
+
+        def counted():
+            n, zero = list(found.values()), [0] * len(found)
+            return batch_of({"term": list(found), "toxic": n if kind == "toxic" else zero, "clean": n if kind == "clean" else zero}, arrow)
+
+        for batch in batches if kind == "toxic" else slices(batches):
+            words = batch.column("words").to_pylist() if kind == "toxic" else (fold(t).split() for t in strings(batch.column("text")))
+            for own in words:
+                found.update(terms(set(own)))
+                if len(found) > COUNTED:
+                    yield counted()
+                    found.clear()
+        yield counted()
+
+    return run
+
+
 class Matcher:
     def __init__(self, weights: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS):
         self.automaton = ahocorasick.Automaton()
