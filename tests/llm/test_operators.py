@@ -284,7 +284,7 @@ def clusters(spark):
 
 @pytest.mark.parametrize(("k", "num", "den"), [(3, 90, 100), (5, 80, 100)])
 def test_jaccard_join(spark, docs, messy, nothing, monkeypatch, k, num, den):
-    monkeypatch.setattr(trie_join, "FREQUENT", 3)
+    monkeypatch.setattr(trie_join, "ADDED", 2)
     made = clusters(spark)
     one_text = messy.where("not (doc_id <=> 7 and length(text) < 100)")
     for df in (made, one_text, docs) if k == 3 else (made, docs):

@@ -1,8 +1,8 @@
 """N-gram Jaccard join by prefix trees.
 
 Texts are sets of hashes of n-grams of words, in one order over all texts: rare n-grams
-first, n-grams found often last (as counted over all texts, by number; any order gives
-the same links). Sets with J >= t share an n-gram among the first n - ceil(t n) + 1 of
+first. How often each is found is counted over all texts by a sketch of fixed size, whose
+cells several n-grams share (any order gives the same links, so counts may be too high). Sets with J >= t share an n-gram among the first n - ceil(t n) + 1 of
 each, so Spark brings sets together by these n-grams only, never by all pairs.
 
 Where sets meet, they are stored in a prefix tree. A set walks the tree once; what it
@@ -47,15 +47,14 @@ from velomart.llm.graph import components
 from velomart.llm.text import SLICE_BYTES, Words, batch_of, mapped, mix, raw, slices, to_arrow
 from velomart.workspace import materialize
 
-#: Classes that meet in one tree, and n-grams that a task counts at a time.
+#: Classes that meet in one tree.
 CELL = 400
 #: N-grams of the whole sets that meet in one tree.
 CELL_GRAMS = 2_000_000
-COUNTED = 2_000_000
 #: Measured bytes of looked-up row numbers up to which they are broadcast.
 SENT = 32 << 20
-#: Counts within such a portion from which an n-gram counts as frequent, and how many of them are put last.
-FREQUENT, LISTED = 8, 1 << 18
+#: Cells of the sketch by bits of the hash, cells that travel together, and parts that are added up at once.
+SKETCH_BITS, CHUNK, ADDED = 24, 1 << 16, 32
 
 
 def ngram_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -81,23 +80,21 @@ def class_of(grams: np.ndarray) -> int:
     return int(mix(np.array([mix(grams).sum(dtype=np.uint64) + np.uint64(len(grams))]))[0].view(np.int64))
 
 
+def cell_of(grams: np.ndarray) -> np.ndarray:
+    """Each n-gram's place in the sketch: the upper bits of its hash."""
+    return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
 class Order:
-    """All n-grams in one order: those not listed by hash, then the listed ones as listed."""
+    """All n-grams in one order: by how often their cell of the sketch was met, then by hash."""
 
-    def __init__(self, listed: list[int]):
-        """``listed``: the frequent n-grams, the most frequent last."""
-        grams = np.array(listed, np.int64).view(np.uint64)
-        self.place = np.argsort(grams, kind="stable")
-        self.grams = grams[self.place]
+    def __init__(self, counts: np.ndarray):
+        """``counts`` of all cells; they are kept as steps of a quarter of a doubling, a byte each."""
+        self.steps = np.round(4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
 
     def sort(self, grams: np.ndarray) -> np.ndarray:
         """The ascending set in this order."""
-        if not len(self.grams) or not len(grams):
-            return grams
-        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
-        listed = self.grams[at] == grams
-        late = grams[listed][np.argsort(self.place[at[listed]], kind="stable")]
-        return np.concatenate([grams[~listed], late])
+        return grams[np.argsort(self.steps[cell_of(grams)], kind="stable")]
 
 
 class Node:
@@ -239,23 +236,16 @@ def unpacked(batches):
 
 
 def _shapes(docs: DataFrame, k: int) -> DataFrame:
-    """Rows ``kind`` 0: document, class and size of its set, number of the row and packed text; 1: frequent n-gram and its count here."""
+    """Rows ``kind`` 0: document, class and size of its set, number of the row and packed text.
+
+    Rows ``kind`` 1: the sketch of a task, in chunks (``x``) of packed counts; ``y`` is the task.
+    """
     schema = "kind int, x long, y long, n long, row long, packed binary"
 
     def run(batches):
-        arrow, held, size = to_arrow(schema), [], 0
-        row = TaskContext.get().partitionId() << 33
-
-        def frequent():
-            gram, count = np.unique(np.concatenate(held), return_counts=True)
-            many = count >= FREQUENT
-            n = int(many.sum())
-            zero = np.zeros(n, np.int64)
-            return batch_of({
-                "kind": np.ones(n, np.int32), "x": gram[many], "y": zero, "n": count[many], "row": zero,
-                "packed": pa.nulls(n, pa.binary()),
-            }, arrow)
-
+        arrow, task = to_arrow(schema), TaskContext.get().partitionId()
+        row, met = task << 33, np.zeros(1 << SKETCH_BITS, np.uint32)
+        any_text = False
         for batch in slices(batches):
             sets = ngram_sets(batch.column("text"), k)
             yield batch_of({
@@ -264,17 +254,58 @@ def _shapes(docs: DataFrame, k: int) -> DataFrame:
                 "row": np.arange(row, row + len(sets)), "packed": pack(batch.column("text")),
             }, arrow)
             row += len(sets)
-            held += sets
-            size += sum(map(len, sets))
-            if size > COUNTED:
-                yield frequent()
-                held, size = [], 0
-        if held:
-            yield frequent()
+            any_text = True
+            cells, n = np.unique(cell_of(np.concatenate(sets)), return_counts=True)
+            met[cells] += n.astype(np.uint32)
+        if any_text:
+            chunks = met.reshape(-1, CHUNK)
+            filled = np.flatnonzero(chunks.any(axis=1))
+            zero = np.zeros(len(filled), np.int64)
+            yield batch_of({
+                "kind": np.ones(len(filled), np.int32), "x": filled, "y": zero + task, "n": zero, "row": zero,
+                "packed": [_packed_counts(chunks[c]) for c in filled],
+            }, arrow)
 
     return docs.mapInArrow(run, schema)
 
 
+def _packed_counts(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype("<u4").tobytes())
+
+
+def _counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<u4")
+
+
+def _sketch(shapes: DataFrame) -> np.ndarray:
+    """The sum of all tasks' sketches, added up in a tree so that no task holds many; its size is fixed."""
+    schema = "x long, y long, packed binary"
+
+    def run(batches):
+        arrow = to_arrow(schema)
+        for batch in batches:
+            out = {"x": [], "y": [], "packed": []}
+            for x, y, parts in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "parts"))):
+                total = np.zeros(CHUNK, np.uint64)
+                for part in parts:
+                    total += _counts(part)
+                out["x"].append(x)
+                out["y"].append(y)
+                out["packed"].append(_packed_counts(np.minimum(total, (1 << 32) - 1)))
+            yield batch_of(out, arrow)
+
+    now = shapes.where("kind = 1").select("x", "y", "packed")
+    tasks = (now.agg(F.max("y")).first()[0] or 0) + 1
+    while tasks > 1:
+        grouped = now.groupBy("x", F.expr(f"y div {ADDED}").alias("y")).agg(F.collect_list("packed").alias("parts"))
+        now = grouped.mapInArrow(run, schema)
+        tasks = -(-tasks // ADDED)
+    met = np.zeros((1 << SKETCH_BITS) // CHUNK * CHUNK, np.uint32).reshape(-1, CHUNK)
+    for r in now.collect():  # a row for each chunk
+        met[r["x"]] = _counts(r["packed"])
+    return met.ravel()
+
+
 def _with_texts(cells: DataFrame, classes: DataFrame, shapes: DataFrame) -> DataFrame:
     """``cells`` (cell, class, label) with the packed text of one row of each class."""
     wanted = materialize(cells.join(classes.select("class", "row"), "class"), "wanted")
@@ -362,10 +393,7 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shapes = materialize(_shapes(docs, k), "shapes")
     rows = shapes.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("class"), "n", "row")
-    listed = (
-        shapes.where("kind = 1").groupBy("x").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "x").limit(LISTED).collect()
-    )  # bounded by LISTED; only the order depends on it
-    order = spark.sparkContext.broadcast(Order([r["x"] for r in reversed(listed)]))
+    order = spark.sparkContext.broadcast(Order(_sketch(shapes)))  # a byte for each cell
     with_id = rows.where("doc_id is not null and n > 0")
     classes = with_id.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.min("row").alias("row"))
     classes = materialize(classes, "classes")
