@@ -14,10 +14,11 @@ Only reachability is asked for, so sets known to be linked are not compared agai
 2. Each class meets one other: of the first classes of its n-grams, the one that shares
    most of them. What links becomes one component; groups of near copies collapse here,
    in work linear in their rows, and a text travels once.
-3. Sizes allow a link within a factor of t, and c shared ones among the first p n-grams
+3. Sizes allow a link within a factor of t, so an n-gram brings together only sets of one
+   band of sizes or of neighbouring ones. Also c shared ones among the first p n-grams
    allow c + max(n - p) in all. By these bounds classes are near or not, first with the
-   first class of every n-gram; where an n-gram still joins classes not connected so, all
-   its classes meet in trees of their first n-grams, in cells by size.
+   first class of every n-gram and band; where these still join classes not connected so,
+   all their classes meet in trees of their first n-grams.
 4. The classes that are connected by being near, but not linked, meet with whole sets.
 A cell of over ``CELL`` classes or ``CELL_GRAMS`` n-grams is cut into blocks, and each two blocks meet.
 Within a tree, what has joined the first set's component is no longer walked: its links to
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 
 from velomart.llm.graph import components
 from velomart.llm.text import SLICE_BYTES, Words, batch_of, mapped, mix, raw, slices, to_arrow
-from velomart.workspace import materialize
+from velomart.workspace import Tables, materialize
 
 #: Classes that meet in one tree.
 CELL = 400
@@ -55,6 +56,11 @@ CELL_GRAMS = 2_000_000
 SENT = 32 << 20
 #: Cells of the sketch by bits of the hash, cells that travel together, and parts that are added up at once.
 SKETCH_BITS, CHUNK, ADDED = 24, 1 << 16, 32
+#: Share of a task's rows from which a key is dealt by class too, among so many salts.
+FULL, SALTS = 0.25, 64
+#: Classes that a task remembers.
+SEEN = 1 << 19
+_BAND = np.uint64(0x9E3779B97F4A7C15)
 
 
 def ngram_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -91,11 +97,16 @@ class Order:
     def __init__(self, counts: np.ndarray):
         """``counts`` of all cells; they are kept as steps of a quarter of a doubling, a byte each."""
         self.steps = np.round(4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
+        self.total = int(counts.sum(dtype=np.int64))
 
     def sort(self, grams: np.ndarray) -> np.ndarray:
         """The ascending set in this order."""
         return grams[np.argsort(self.steps[cell_of(grams)], kind="stable")]
 
+    def often(self, grams: np.ndarray, limit: float) -> np.ndarray:
+        """Whether each n-gram may come more often than that."""
+        return self.steps[cell_of(grams)] > 4 * math.log2(max(limit, 1))
+
 
 class Node:
     __slots__ = ("segment", "children", "ends", "longest", "least", "rest", "label")
@@ -306,31 +317,103 @@ def _sketch(shapes: DataFrame) -> np.ndarray:
     return met.ravel()
 
 
-def _with_texts(cells: DataFrame, classes: DataFrame, shapes: DataFrame) -> DataFrame:
+def _with_texts(cells: DataFrame, classes: DataFrame, shapes: DataFrame, tables: Tables) -> DataFrame:
     """``cells`` (cell, class, label) with the packed text of one row of each class."""
-    wanted = materialize(cells.join(classes.select("class", "row"), "class"), "wanted")
+    wanted = tables.write(cells.join(classes.select("class", "row"), "class"), "wanted")
     rows = wanted.count()
     width = 8 * len(wanted.columns)
     kept = shapes.where("kind = 0 and n > 0").select("row", "packed")
     return kept.join(F.broadcast(wanted) if rows * width <= SENT else wanted, "row").drop("row")
 
 
-def _prefixes(docs: DataFrame, k: int, order, num: int, den: int) -> DataFrame:
-    """The first n-grams of each text's set: gram, class, size."""
+KEY = "gram long, class long, n long, salt long"
+MET = "gram long, class long, n long, hub long, hub_n long"
+
+
+def _limit(order: Order, num: int, den: int, tasks: int) -> float:
+    """Number of an n-gram from which it alone would be a good part of what a task reads of the first n-grams."""
+    return FULL * 2 * (1 - num / den) * order.total / tasks
+
+
+def _prefixes(docs: DataFrame, k: int, order, num: int, den: int, limit: float) -> DataFrame:
+    """The first n-grams of each set by band of sizes: key, class, size, and a salt for frequent ones.
+
+    A task that meets a class again passes over it.
+    """
+
+    def run(batches):
+        arrow, seen = to_arrow(KEY), set()
+        for batch in slices(batches):
+            first, owner, size = [], [], []
+            for s in ngram_sets(batch.column("text"), k):
+                if not len(s) or (c := class_of(s)) in seen:
+                    continue
+                seen.add(c)
+                first.append(order.value.sort(s)[: len(s) - (-(-num * len(s) // den)) + 1])
+                owner.append(c)
+                size.append(len(s))
+            if len(seen) > SEEN:
+                seen.clear()
+            if not first:
+                continue
+            each = [len(f) for f in first]
+            grams, owners, sizes = np.concatenate(first), np.repeat(np.array(owner, np.int64), each), np.repeat(np.array(size, np.int64), each)
+            band = np.floor(np.log(sizes) / math.log(den / num) + 1e-9).astype(np.uint64)
+            salt = pa.array(owners % SALTS, pa.int64(), mask=~order.value.often(grams, limit))
+            for b in (band, band + np.uint64(1)):
+                yield batch_of({"gram": mix(grams + b * _BAND), "class": owners, "n": sizes, "salt": salt}, arrow)
+
+    return docs.select("text").mapInArrow(run, KEY)
+
 
-    def each(batch: pa.RecordBatch):
-        sets = ngram_sets(batch.column("text"), k)
-        first = [order.value.sort(s)[: len(s) - (-(-num * len(s) // den)) + 1] for s in sets if len(s)]
-        if not first:
-            return
-        size = [len(f) for f in first]
-        yield {
-            "gram": np.concatenate(first),
-            "class": np.repeat(np.array([class_of(s) for s in sets if len(s)], np.int64), size),
-            "n": np.repeat(np.array([len(s) for s in sets if len(s)], np.int64), size),
-        }
+def _first_of_keys(batches):
+    """Rows sorted by key (gram, class, n, salted or not) to ``MET``: of the keys of several classes, with the least class.
+
+    Salted keys stand in several tasks and pass without it.
+    """
+    arrow, held = to_arrow(MET), np.zeros((4, 0), np.int64)
+
+    def met(rows: np.ndarray):
+        new = np.append(True, rows[0, 1:] != rows[0, :-1])
+        run = np.cumsum(new) - 1
+        kept = np.flatnonzero((np.bincount(run)[run] > 1) | (rows[3] == 1))
+        gram, owner, n, salted = rows[:, kept[np.lexsort((rows[1, kept], run[kept]))]]
+        once = np.append(True, (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])) if len(gram) else np.zeros(0, bool)
+        gram, owner, n, salted = gram[once], owner[once], n[once], salted[once] == 1
+        new = np.append(True, gram[1:] != gram[:-1]) if len(gram) else np.zeros(0, bool)
+        first, run = np.flatnonzero(new), np.cumsum(new) - 1
+        several = (np.bincount(run)[run] > 1 if len(gram) else new) | salted
+        hub = first[run]
+        out = {"gram": gram, "class": owner, "n": n}
+        for name, values in (("hub", owner[hub]), ("hub_n", n[hub])):
+            out[name] = pa.array(values[several], pa.int64(), mask=salted[several])
+        return batch_of({**out, **{c: out[c][several] for c in ("gram", "class", "n")}}, arrow)
 
-    return mapped(docs.select("text"), "gram long, class long, n long", each)
+    for batch in batches:
+        rows = np.array([c.to_numpy() for c in batch.columns])
+        held = np.concatenate([held, rows], 1) if held.shape[1] else rows
+        if not held.shape[1]:
+            continue
+        whole = int(np.searchsorted(held[0], held[0, -1]))  # the last key may go on
+        if whole:
+            yield met(held[:, :whole])
+            held = held[:, whole:]
+    if held.shape[1]:
+        yield met(held)
+
+
+def _shared(prefixes: DataFrame, tables: Tables) -> DataFrame:
+    """``MET`` of all keys that several classes have, each class once."""
+    n = max(8, int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keyed = prefixes.select("gram", "class", "n", F.when(F.col("salt").isNull(), 0).otherwise(1).cast("long").alias("salted"), "salt")
+    together = keyed.repartition(n, "gram", "salt").sortWithinPartitions("gram")
+    met = tables.write(together.select("gram", "class", "n", "salted").mapInArrow(_first_of_keys, MET), "keys")
+    often = met.where("hub is null").select("gram", "class", "n").distinct()
+    if often.isEmpty():
+        return met
+    first = often.groupBy("gram").agg(F.min(F.struct("class", "n")).alias("p"), F.max("class").alias("last")).where("p.class <> last")
+    first = tables.write(first.select("gram", F.col("p.class").alias("hub"), F.col("p.n").alias("hub_n")), "first")
+    return tables.write(met.where("hub is not null").unionByName(often.join(first, "gram")), "met")
 
 
 def _meet(rows: DataFrame, order, num: int, den: int, k: int) -> DataFrame:
@@ -389,28 +472,32 @@ def _cells(rows: DataFrame, limit: int) -> DataFrame:
 
 def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id of each row; two texts link when den * |x & y| >= num * |x | y|."""
+    spark = docs.sparkSession
+    with Tables(spark) as tables:
+        return _joined(docs, k, num, den, tables)
+
+
+def _joined(docs: DataFrame, k: int, num: int, den: int, tables: Tables) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shapes = materialize(_shapes(docs, k), "shapes")
+    shapes = tables.write(_shapes(docs, k), "shapes")
     rows = shapes.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("class"), "n", "row")
     order = spark.sparkContext.broadcast(Order(_sketch(shapes)))  # a byte for each cell
     with_id = rows.where("doc_id is not null and n > 0")
     classes = with_id.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.min("row").alias("row"))
-    classes = materialize(classes, "classes")
+    classes = tables.write(classes, "classes")
 
-    prefixes = materialize(_prefixes(docs.where("doc_id is not null"), k, order, num, den), "prefixes")
-    shared = prefixes.groupBy("gram").agg(F.min("class").alias("hub"), F.max("class").alias("last")).where("hub <> last")
-    met = materialize(prefixes.join(shared.drop("last"), "gram").distinct(), "met")
+    limit = _limit(order.value, num, den, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    met = _shared(_prefixes(docs.where("doc_id is not null"), k, order, num, den, limit), tables)
 
     # Each class with the first class of each of its n-grams, where sizes and the number of
-    # n-grams shared so allow a link.
-    sizes = classes.select(F.col("class").alias("hub"), F.col("n").alias("hub_n"))
+    # n-grams shared so (twice those of the same band) allow a link.
     rest = lambda n: F.floor((num * F.col(n) + (den - 1)) / den) - 1
     reach = F.col("count") + F.greatest(rest("n"), rest("hub_n"))
     alike = num * F.greatest("n", "hub_n") <= den * F.least("n", "hub_n")
     fit = alike & ((num + den) * reach >= num * (F.col("n") + F.col("hub_n")))
-    stars = met.where("class <> hub").groupBy("class", "n", "hub").count().join(sizes, "hub").where(fit)
-    stars = materialize(stars.select("class", "n", "hub", "count"), "stars")
+    stars = met.where("class <> hub").groupBy("class", "n", "hub", "hub_n").count().where(fit)
+    stars = tables.write(stars.select("class", "n", "hub", "count"), "stars")
     best = stars.groupBy("class", "n").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
     full = F.greatest(F.count(F.lit(1)) / CELL, F.sum("n") / CELL_GRAMS)
     portions = best.groupBy("hub").agg(F.ceil(full).cast("int").alias("portions"))
@@ -418,8 +505,8 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
     cell = F.xxhash64("hub", "portion").alias("cell")
     own = placed.select(cell, "class", F.col("class").alias("label"))
     hubs = placed.select("hub", "portion").distinct().select(cell, F.col("hub").alias("class"), F.col("hub").alias("label"))
-    links = materialize(_meet(_with_texts(own.unionByName(hubs), classes, shapes), order, num, den, k), "links")
-    label = materialize(components(links), "labels")
+    links = tables.write(_meet(_with_texts(own.unionByName(hubs), classes, shapes, tables), order, num, den, k), "links")
+    label = tables.write(components(links), "labels")
 
     # N-grams that still join classes not yet thought near: all their classes meet.
     thought = components(links.unionByName(stars.select(F.col("class").alias("a"), F.col("hub").alias("b"))))
@@ -428,19 +515,16 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
         met.select("gram", "class", "n").join(thought, "class", "left")
         .select("gram", "class", "n", F.coalesce("thought", "class").alias("label"))
     )
+    labelled = tables.write(labelled, "labelled")
     open_ = labelled.groupBy("gram").agg(
         F.min("label").alias("low"), F.max("label").alias("high"),
         F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("members"), F.count(F.lit(1)).alias("m"),
     ).where("low <> high")
     once = open_.groupBy("members", "m").agg(F.min("gram").alias("gram")).select("gram")
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(den / num) + 1e-9)
-    banded = labelled.join(once, "gram").withColumn("band", F.explode(F.array(band, band + 1)))
-    banded = banded.select(F.xxhash64("gram", "band").alias("cell"), "class", "label")
-    banded = materialize(banded, "banded")
-    mixed = banded.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    banded = labelled.join(once, "gram").select(F.col("gram").alias("cell"), "class", "label", F.lit(1).alias("weight"))
     firsts = met.groupBy("class", "n").agg(F.collect_list("gram").alias("grams"))  # no more than its first n-grams
-    cells = _cells(banded.join(mixed.select("cell"), "cell").withColumn("weight", F.lit(1)), CELL).join(firsts, "class")
-    near = materialize(_meet(cells, order, num, den, k), "near")
+    cells = _cells(tables.write(banded, "banded"), CELL).join(firsts, "class")
+    near = tables.write(_meet(cells, order, num, den, k), "near")
 
     # What is near in the end, where it holds more than one component of links.
     own_thought = labelled.select("class", "label", F.col("n").alias("weight")).distinct()
@@ -454,8 +538,8 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
         .select("cell", "class", F.coalesce("component", "class").alias("label"), "weight")
     )
     open_cells = own_label.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    whole = materialize(_cells(own_label.join(open_cells.select("cell"), "cell"), CELL_GRAMS), "whole")
-    more = _meet(_with_texts(whole, classes, shapes), order, num, den, k)
+    whole = tables.write(_cells(own_label.join(open_cells.select("cell"), "cell"), CELL_GRAMS), "whole")
+    more = _meet(_with_texts(whole, classes, shapes, tables), order, num, den, k)
 
     label = components(links.unionByName(more))
     of_class = classes.join(label.withColumnRenamed("node", "class"), "class").select("class", "doc_id", "component")
@@ -468,4 +552,4 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
             F.when(F.col("n") > 0, F.coalesce("component_id", "own")).otherwise(F.col("doc_id")).alias("found"),
         )
     )
-    return result.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("component_id"))
+    return materialize(result.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("component_id")), "joined")
