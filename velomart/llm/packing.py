@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from velomart.llm.text import mapped, strings
-from velomart.llm.tokens import encoder
+from velomart.llm.tokens import KEPT_WORDS, encoder
 from velomart.workspace import materialize
 
 CAPACITY = 2048
@@ -93,11 +93,11 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return rows
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0, kept: int = KEPT_WORDS) -> DataFrame:
     """Pieces of each document, numbered within their length and task (``part``, ``nth``)."""
 
     def each(batch: pa.RecordBatch):
-        ids, at = encoder(vocabulary).encode(strings(batch.column("text")))
+        ids, at = encoder(vocabulary, kept).encode(strings(batch.column("text")))
         rows = []
         for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), at, at[1:]):
             own = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")
@@ -122,14 +122,14 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
     return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), PIECES, each)
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0, kept: int = KEPT_WORDS) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null text counts as empty, and gives one piece of the end id. Rows that share a
     doc_id are packed each on its own. An empty table gives no rows. Columns other than
-    doc_id and text are not read.
+    doc_id and text are not read. ``kept`` bounds the words that a Python worker keeps.
     """
-    cut = materialize(pieces(docs, vocabulary, capacity, end_id), "pieces")
+    cut = materialize(pieces(docs, vocabulary, capacity, end_id, kept), "pieces")
     by_part = cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))

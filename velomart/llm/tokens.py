@@ -162,8 +162,9 @@ def _room(values: np.ndarray, size: int) -> np.ndarray:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder of a vocabulary."""
+def encoder(path: str, kept: int = KEPT_WORDS) -> Encoder:
+    """The worker's encoder of a vocabulary, which keeps so many words."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+    _encoders[path].kept = kept
     return _encoders[path]

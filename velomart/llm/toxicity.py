@@ -41,7 +41,9 @@ EXCEPTIONS = ("clown fish", "trash can", "trash bin", "stupid simple", "pond scu
 GRAMS = (5, 6)
 LONGEST_WORD = 24
 #: Entries that a task counts before it passes them on.
-COUNTED = 80_000
+COUNTED = 60_000
+#: Words that are passed on together.
+PASSED_ON = 20_000
 
 
 def _folding() -> dict[int, str]:
@@ -149,9 +151,13 @@ COUNTS = "term string, toxic long, clean long"
 def _in_company(batches):
     """Each word of a text with a digest of it and the words beside it; ``text`` tells texts of one doc_id apart."""
     arrow = to_arrow(COMPANY)
+    nothing = lambda: {"doc_id": [], "text": [], "word": [], "company": []}
     for batch in slices(batches):
-        out = {"doc_id": [], "text": [], "word": [], "company": []}
+        out = nothing()
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text"))):
+            if len(out["word"]) > PASSED_ON:
+                yield batch_of(out, arrow)
+                out = nothing()
             words = fold(text).split()
             number = int.from_bytes(_digest(text), "little", signed=True)
             found = {_digest(f"{a} {w} {b}"): w for a, w, b in zip(["", *words], words, [*words[1:], ""])}
@@ -177,7 +183,8 @@ def _count_words(kind: str):
             return batch_of({"term": list(found), "toxic": n if kind == "toxic" else zero, "clean": n if kind == "clean" else zero}, arrow)
 
         for batch in batches if kind == "toxic" else slices(batches):
-            words = batch.column("words").to_pylist() if kind == "toxic" else (fold(t).split() for t in strings(batch.column("text")))
+            # One text's words at a time.
+            words = (x.as_py() for x in batch.column("words")) if kind == "toxic" else (fold(t).split() for t in strings(batch.column("text")))
             for own in words:
                 found.update(terms(set(own)))
                 if len(found) > COUNTED:

@@ -336,7 +336,9 @@ def _limit(order: Order, num: int, den: int, tasks: int) -> float:
 
 
 def _prefixes(docs: DataFrame, k: int, order, num: int, den: int, limit: float) -> DataFrame:
-    """The first n-grams of each set by band of sizes: key, class, size, and a salt for frequent ones.
+    """The first n-grams of each set by its band of sizes and the next one: key, class, size, and a salt for frequent ones.
+
+    ``n`` is twice the size, and one more in the next band.
 
     A task that meets a class again passes over it.
     """
@@ -360,8 +362,8 @@ def _prefixes(docs: DataFrame, k: int, order, num: int, den: int, limit: float)
             grams, owners, sizes = np.concatenate(first), np.repeat(np.array(owner, np.int64), each), np.repeat(np.array(size, np.int64), each)
             band = np.floor(np.log(sizes) / math.log(den / num) + 1e-9).astype(np.uint64)
             salt = pa.array(owners % SALTS, pa.int64(), mask=~order.value.often(grams, limit))
-            for b in (band, band + np.uint64(1)):
-                yield batch_of({"gram": mix(grams + b * _BAND), "class": owners, "n": sizes, "salt": salt}, arrow)
+            for upper, b in enumerate((band, band + np.uint64(1))):
+                yield batch_of({"gram": mix(grams + b * _BAND), "class": owners, "n": 2 * sizes + upper, "salt": salt}, arrow)
 
     return docs.select("text").mapInArrow(run, KEY)
 
@@ -369,7 +371,7 @@ def _prefixes(docs: DataFrame, k: int, order, num: int, den: int, limit: float)
 def _first_of_keys(batches):
     """Rows sorted by key (gram, class, n, salted or not) to ``MET``: of the keys of several classes, with the least class.
 
-    Salted keys stand in several tasks and pass without it.
+    Classes that are all in the next band of their own have met in that one, and are left out here. Salted keys stand in several tasks and pass without it.
     """
     arrow, held = to_arrow(MET), np.zeros((4, 0), np.int64)
 
@@ -380,9 +382,13 @@ def _first_of_keys(batches):
         gram, owner, n, salted = rows[:, kept[np.lexsort((rows[1, kept], run[kept]))]]
         once = np.append(True, (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])) if len(gram) else np.zeros(0, bool)
         gram, owner, n, salted = gram[once], owner[once], n[once], salted[once] == 1
+        upper, n = n & 1, n >> 1
         new = np.append(True, gram[1:] != gram[:-1]) if len(gram) else np.zeros(0, bool)
         first, run = np.flatnonzero(new), np.cumsum(new) - 1
-        several = (np.bincount(run)[run] > 1 if len(gram) else new) | salted
+        several = salted
+        if len(gram):
+            size = np.bincount(run)
+            several = several | ((size > 1) & (np.bincount(run, upper) < size))[run]
         hub = first[run]
         out = {"gram": gram, "class": owner, "n": n}
         for name, values in (("hub", owner[hub]), ("hub_n", n[hub])):
