@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -52,6 +53,15 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[
             last = max(first + 1, int(np.searchsorted(ends, limit, "right")))
             yield batch.slice(first, last - first)
             first = last
+    release()
+
+
+def release() -> None:
+    """Give back what a task has freed: its worker waits for other stages with all that it holds."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def strings(column: pa.Array) -> list[str]:

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velomart.llm.graph import components
-from velomart.llm.text import SLICE_BYTES, Words, batch_of, mapped, mix, raw, slices, to_arrow
+from velomart.llm.text import SLICE_BYTES, Words, batch_of, mapped, mix, raw, release, slices, to_arrow
 from velomart.workspace import Tables, materialize
 
 #: Classes that meet in one tree.
@@ -406,6 +406,8 @@ def _first_of_keys(batches):
             held = held[:, whole:]
     if held.shape[1]:
         yield met(held)
+    del held
+    release()
 
 
 def _shared(prefixes: DataFrame, tables: Tables) -> DataFrame:
