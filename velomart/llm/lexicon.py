@@ -14,6 +14,7 @@ out become their ids, as in the library.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import uuid
 from collections import Counter
@@ -25,13 +26,19 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velomart.llm.select import least
 from velomart.llm.text import batch_of, mapped, slices, strings, to_arrow
 from velomart.llm.tokens import END, Encoder
-from velomart.workspace import work_dir
+from velomart.workspace import Tables, work_dir
 
 #: Words of the lexicon, and pieces that a task counts before it passes the counts on.
 WORDS = 50_000
 COUNTED = 300_000
+#: Characters of the longest word of the lexicon, which bounds its file; longer ones are merged.
+LONGEST = 256
+#: Pieces that are merged side by side, the cells (pieces by characters) that these fill at most,
+#: and characters from which a piece is merged on its own.
+TOGETHER, CELLS, LONG = 2048, 1 << 19, 2048
 
 
 class Merges:
@@ -48,6 +55,7 @@ class Merges:
         made = np.array([v[a + b] for a, b in pairs], np.int64)
         order = np.argsort(key, kind="stable")
         self.key, self.rank, self.made = key[order], order, made[order]
+        self.pairs: dict[int, tuple[int, int]] = {}  # filled when a long piece comes
 
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and result of merging each pair; no merge has the last rank."""
@@ -57,15 +65,56 @@ class Merges:
         return np.where(found, self.rank[at], len(self.key)), self.made[at]
 
     def merge(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids on end, and how many each piece has."""
+        """All ids on end, and how many each piece has. Memory is in proportion to the pieces."""
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(pieces)
-        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
-        for i in range(0, len(order), 2048):
-            part = order[i : i + 2048]
+        part: list[int] = []
+
+        def merged() -> None:
             for j, ids in zip(part, self._together([pieces[j] for j in part])):
                 out[j] = ids
+            part.clear()
+
+        for i in sorted(range(len(pieces)), key=lambda i: len(pieces[i])):
+            if len(pieces[i]) >= LONG:
+                out[i] = self._alone(pieces[i])
+                continue
+            if part and (len(part) == TOGETHER or (len(part) + 1) * len(pieces[i]) > CELLS):
+                merged()
+            part.append(i)
+        if part:
+            merged()
         return (np.concatenate(out) if out else np.zeros(0, np.uint32)), np.array([len(x) for x in out], np.int64)
 
+    def _alone(self, piece: str) -> np.ndarray:
+        """One long piece: pairs wait in a heap by rank, then place, and neighbours are linked."""
+        if not self.pairs:
+            self.pairs.update(zip(self.key.tolist(), zip(self.rank.tolist(), self.made.tolist())))
+        ids = [*map(self.vocab.__getitem__, piece[:-1]), self.vocab[piece[-1] + END]]
+        n = len(ids)
+        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+
+        def pair(at: int):
+            key = ids[at] * self.size + ids[after[at]]
+            if found := self.pairs.get(key):
+                return found[0], at, key, found[1]
+
+        waiting = [p for at in range(n - 1) if (p := pair(at))]
+        heapq.heapify(waiting)
+        while waiting:
+            _, at, key, made = heapq.heappop(waiting)
+            right = after[at]
+            # Either side may have been merged since.
+            if ids[at] < 0 or right < 0 or ids[at] * self.size + ids[right] != key:
+                continue
+            ids[at], ids[right] = made, -1
+            after[at] = after[right]
+            if after[at] >= 0:
+                before[after[at]] = at
+            for left in (before[at], at):
+                if left >= 0 and after[left] >= 0 and (p := pair(left)):
+                    heapq.heappush(waiting, p)
+        return np.array([x for x in ids if x >= 0], np.uint32)
+
     def _together(self, pieces: list[str]) -> list[np.ndarray]:
         n, width, none = len(pieces), max(map(len, pieces)), len(self.key)
         ids = np.full((n, width + 1), -1, np.int64)
@@ -264,6 +313,15 @@ def piece_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     return docs.select("text").mapInArrow(run, schema).groupBy("piece").agg(F.sum("n").alias("n"))
 
 
+def frequent_pieces(docs: DataFrame, vocabulary: str, words: int) -> list[str]:
+    """The most frequent pieces of up to ``LONGEST`` characters; of equally frequent ones those of least hash."""
+    with Tables(docs.sparkSession) as tables:
+        counts = tables.write(piece_counts(docs, vocabulary).where(F.length("piece") <= LONGEST), "pieces")
+        # Rising with falling counts; a hash parts the many pieces of one count.
+        key = F.expr("((2147483647L - least(n, 2147483647L)) << 31) | (xxhash64(piece) & 2147483647L)")
+        return [r["piece"] for r in least(counts, key, [key, F.col("piece")], words).select("piece").collect()]
+
+
 def _runs(cut: list[str]):
     own: list[str] = []
     for p in cut:
@@ -298,8 +356,8 @@ def _encoder(vocabulary: str, name: str) -> LexiconEncoder:
 
 def encode_decode(docs: DataFrame, vocabulary: str, words: int = WORDS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document."""
-    top = piece_counts(docs, vocabulary).orderBy(F.desc("n"), "piece").limit(words).collect()
-    name = publish(docs.sparkSession, compile_lexicon([r["piece"] for r in top], Merges(vocabulary)))
+    top = frequent_pieces(docs, vocabulary, words)
+    name = publish(docs.sparkSession, compile_lexicon(top, Merges(vocabulary)))
 
     def each(batch: pa.RecordBatch):
         enc = _encoder(vocabulary, name)
