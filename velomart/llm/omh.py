@@ -99,8 +99,8 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - m] + following[:m]
 
 
-def in_turn(docs: DataFrame) -> DataFrame:
-    """Documents dealt out by ranges of doc_id, each range with the document that follows it.
+def in_turn(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Documents dealt out by ranges of doc_id, each range with the document that follows it, and the number of ranges.
 
     Adds ``turn`` (ranges in descending doc_id) and ``guest`` (true for the document
     that begins the next range). Order is descending doc_id, equal ones by text, null
@@ -126,7 +126,7 @@ def in_turn(docs: DataFrame) -> DataFrame:
     guests = spark.createDataFrame(owners, "owner int, turn int, head long")
     same = (placed["turn"] == guests["turn"]) & placed["doc_id"].eqNullSafe(guests["head"])
     extra = placed.join(F.broadcast(guests), same).select("doc_id", "text", F.col("owner").alias("turn"), F.lit(True).alias("guest"))
-    return placed.withColumn("guest", F.lit(False)).unionByName(extra)
+    return placed.withColumn("guest", F.lit(False)).unionByName(extra), len(cuts) + 2
 
 
 ROWS = (
@@ -142,10 +142,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     that share a doc_id each count, in the order of their texts. An empty table gives no
     rows. Columns other than doc_id and text are not read.
     """
-    ranges = in_turn(docs)
-    n = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # Ranges are numbered; each is a key of its own, and a task reads whole ranges in order.
-    ordered = ranges.repartition(n, "turn").sortWithinPartitions(
+    ranges, n = in_turn(docs)
+    # A task reads one range, in order.
+    ordered = ranges.repartitionById(n, F.col("turn")).sortWithinPartitions(
         "turn", "guest", F.desc_nulls_last("doc_id"), "text"
     )
 
