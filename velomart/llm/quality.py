@@ -4,11 +4,13 @@ Every document gets simple counts. Random trees, grown on a bounded sample of la
 rows, cut the space of these counts at random values; unusual documents are cut off
 after few steps. The score from which a document is rejected comes from all labelled
 rows: of those that reject at most ``good_lost`` of the good ones, the one that tells good
-from bad best.
+from bad best. Both are of rows that pass the base rules, as no others need the verdict.
 
-Rows: null and empty text have no words, so ``base_failed`` holds. Rows that share a
-doc_id are scored each on their own text. Without labelled rows of both kinds nothing
-is rejected but by the base rules. Other columns are not read. A null doc_id stays.
+Rows: null and empty text have no words, so ``base_failed`` holds. Texts are read whole,
+whatever their length. Rows that share a doc_id are scored each on their own text. Without
+labelled rows of both kinds nothing is rejected but by the base rules. Where scores tie, all
+rows or none are rejected. Other columns are not read. A null doc_id stays. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -17,9 +19,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from velomart.llm.select import least
 from velomart.llm.text import mapped, strings
-from velomart.workspace import materialize
+from velomart.workspace import Tables, materialize
 
 #: Characters that count as symbols (fixed values).
 SYMBOLS = b"#*$%&|<>"
@@ -121,33 +125,31 @@ class IsolationForest:
         return 2.0 ** (-total / len(self.trees) / max(float(_usual_path(self.size)), 1e-9))
 
 
-def fit(stats: DataFrame, labels: DataFrame, sample_rows: int, junk_share: float) -> IsolationForest | None:
-    """A forest on a bounded sample, fixed by hash, with few of the rows labelled as junk."""
-    known = stats.join(labels.where("quality is not null").select("doc_id", "quality"), "doc_id")
-    order = F.xxhash64("doc_id", *COUNTS)
-    pick = lambda quality, n: known.where(F.col("quality") == quality).orderBy(order).limit(n).toPandas()
+def fit(known: DataFrame, sample_rows: int, junk_share: float) -> IsolationForest | None:
+    """A forest on a bounded sample of labelled rows, fixed by hash, with few of those labelled as junk."""
+    key = F.xxhash64("doc_id", *COUNTS).bitwiseAND(F.lit((1 << 63) - 1))
+    pick = lambda quality, n: least(known.where(F.col("quality") == quality), key, [key, F.col("doc_id")], n).toPandas()
     good = pick(1, sample_rows)
-    junk = pick(0, int(len(good) * junk_share))
     if not len(good):
         return None
+    junk = pick(0, int(len(good) * junk_share))
     return IsolationForest(np.vstack([features({c: x[c] for c in COUNTS}) for x in (good, junk) if len(x)]))
 
 
-def score(stats: DataFrame, forest: IsolationForest) -> DataFrame:
+def score(rows: DataFrame, forest: IsolationForest) -> DataFrame:
     def each(batches):
         for batch in batches:
-            rows = features({c: batch.column(c).to_numpy() for c in COUNTS})
+            values = features({c: batch.column(c).to_numpy() for c in COUNTS})
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(forest.score(rows))], [*batch.schema.names, "score"]
+                [*batch.columns, pa.array(forest.score(values))], [*batch.schema.names, "score"]
             )
 
-    return stats.mapInArrow(each, STATS + ", score double")
+    return rows.mapInArrow(each, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
 
 
-def threshold(scored: DataFrame, labels: DataFrame, good_lost: float, bins: int = 2000) -> float:
-    """From counts of all labelled rows by bin of the score: the best one that spares the good."""
-    known = scored.join(labels.where("quality is not null").select("doc_id", "quality"), "doc_id")
-    rows = known.groupBy(F.floor(F.col("score") * bins).alias("bin"), "quality").count().collect()
+def threshold(scored: DataFrame, good_lost: float, bins: int = 2000) -> float:
+    """From counts of labelled rows by bin of the score: the best one that spares the good."""
+    rows = scored.groupBy(F.floor(F.col("score") * bins).alias("bin"), "quality").count().collect()
     good, junk = np.zeros(bins + 1), np.zeros(bins + 1)
     for r in rows:
         (good if r["quality"] == 1 else junk)[r["bin"]] += r["count"]
@@ -167,10 +169,13 @@ def quality_rules(
     threshold and scores cover all rows.
     """
     stats = materialize(statistics(docs), "statistics")
-    forest = fit(stats, labels, sample_rows, junk_share)
-    scored = stats.withColumn("score", F.lit(0.0)) if forest is None else score(stats, forest)
-    limit = float("inf") if forest is None else threshold(scored, labels, good_lost)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    with Tables(docs.sparkSession) as tables:
+        quality = labels.where("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+        known = tables.write(stats.where(~failed).join(quality, "doc_id"), "known")
+        forest = fit(known, sample_rows, junk_share)
+        limit = float("inf") if forest is None else threshold(score(known, forest), good_lost)
+    scored = stats.withColumn("score", F.lit(0.0)) if forest is None else score(stats, forest)
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & (F.col("score") < limit)).alias("kept"), "score",
