@@ -1,12 +1,19 @@
-"""Models and files that must not depend on how rows are dealt out."""
+"""Results that must not depend on how rows are dealt out, on long words, or on what else is held."""
+
+import hashlib
+import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from velomart.llm import simple8b, toxicity
+from velomart.llm import chains, lexicon, omh, quality, simple8b, tokens, toxicity
 from velomart.llm.text import table
 from velomart.workspace import materialize
 
 SF = "/root/testdata/sf0.01"
+VOCABULARY = tokens.vocabulary_path()
 
 
 def test_lexicon_does_not_depend_on_partitions(spark):
@@ -51,3 +58,73 @@ def test_parts_of_a_record_are_read_by_its_block_offsets():
             a, b = sorted(rng.integers(0, n + 1, 2))
             assert (simple8b.ids_between(data, at, head, a, b) == ids[a:b]).all()
         assert (simple8b.ids_between(data, at, head, -5, n + 9) == ids).all()
+
+
+# 5
+def test_long_words(spark, monkeypatch):
+    """Side by side, pieces fill a bounded table; a long one is merged on its own."""
+    rng = random.Random(6)
+    library = Tokenizer.from_file(VOCABULARY)
+    made = lambda n: "".join(rng.choice("etaoinshrdlu") for _ in range(n))
+    pieces = [made(rng.choice([1, 3, 9, 500, 1500, 3000])) for _ in range(900)] + ["a" * 5000]
+    merges = lexicon.Merges(VOCABULARY)
+    together, filled = merges._together, []
+    monkeypatch.setattr(merges, "_together", lambda part: filled.append(len(part) * max(map(len, part))) or together(part))
+    flat, sizes = merges.merge(pieces)
+    assert max(filled) <= lexicon.CELLS and len(filled) > 1
+    for p, own in zip(pieces, np.split(flat, np.cumsum(sizes)[:-1])):
+        assert list(own) == library.encode(p, add_special_tokens=False).ids
+        assert list(merges._alone(p)) == list(own)
+    texts = [made(200_000) + " short", "字" * 20_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    got = {r["doc_id"]: r["ids_sha256"] for r in lexicon.encode_decode(df, VOCABULARY).collect()}
+    assert got == {i: hashlib.sha256(np.array(w, "<u4").tobytes()).hexdigest() for i, w in enumerate(want)}
+
+
+def test_frequent_pieces(spark):
+    df = spark.createDataFrame([(1, "a a a b b c d e " + "x" * 300)], "doc_id long, text string")
+    assert lexicon.frequent_pieces(df, VOCABULARY, 2) == ["a", "b"]
+    assert set(lexicon.frequent_pieces(df, VOCABULARY, 100)) == set("abcde")
+    assert len(lexicon.frequent_pieces(df, VOCABULARY, 3)) == 3 and lexicon.frequent_pieces(df.limit(0), VOCABULARY, 3) == []
+
+
+# 9
+def test_a_task_for_each_range(spark):
+    df = spark.range(1000).selectExpr("id as doc_id", "string(id) as text")
+    ranges, n = omh.in_turn(df.union(spark.createDataFrame([(None, "x")], "doc_id long, text string")))
+    tasks = ranges.repartitionById(n, F.col("turn")).select("turn", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len({t["task"] for t in tasks}) == len({t["turn"] for t in tasks}) == len(tasks) == n
+
+
+# 1
+def test_limit_is_of_rows_that_pass_the_base_rules(spark):
+    """Rows that fail anyway say nothing of the verdict on the others."""
+    labels = table(spark, SF, "labels").where("quality is not null").select("doc_id", "quality")
+    got = quality.quality_rules(table(spark, SF, "documents"), labels).where("not base_failed").join(labels, "doc_id")
+    n = {(r["quality"], r["kept"]): r["count"] for r in got.groupBy("quality", "kept").count().collect()}
+    assert n[0, False] >= 0.66 * (n[0, False] + n.get((0, True), 0))
+    assert n.get((1, False), 0) <= 0.02 * (n[1, True] + n.get((1, False), 0))
+
+
+# 8
+def test_parts_in_earlier_documents_do_not_hide_the_whole(spark):
+    """Halves in two documents, the whole in a third; the fourth has it with 4 of 80 words changed."""
+    rng = random.Random(12)
+    some = lambda n: [f"w{rng.randrange(1_000_000)}" for _ in range(n)]
+    rows = []
+    for _ in range(40):
+        p = some(80)
+        q = list(p)
+        for j in rng.sample(range(2, 78), 4):
+            q[j] = some(1)[0]
+        for own in (p[:40], p[40:], p, q):
+            rows.append((len(rows), " ".join(some(20) + own + some(20)), "en", "s", 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for frequent in (chains.FULL, -1.0):  # all cells frequent, too: the document before is of the same task
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(chains, "FULL", frequent)
+            m.setattr(chains, "SALTS", chains.SALTS if frequent > 0 else 1)
+            got = chains.repeated_passages(df).collect()
+        found = {r["doc_id"] for r in got if r["doc_id"] % 4 == 3 and r["source_doc_id"] == r["doc_id"] - 1 and r["n_words"] >= 70}
+        assert len(found) >= 36 and all(r["doc_id"] % 4 == 3 for r in got)
