@@ -2,13 +2,14 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from velomart.llm import chains, lexicon, omh, quality, simple8b, tokens, toxicity
+from velomart.llm import chains, lexicon, omh, quality, simple8b, tokens, toxicity, trie_join
 from velomart.llm.text import table
 from velomart.workspace import materialize
 
@@ -128,3 +129,26 @@ def test_parts_in_earlier_documents_do_not_hide_the_whole(spark):
             got = chains.repeated_passages(df).collect()
         found = {r["doc_id"] for r in got if r["doc_id"] % 4 == 3 and r["source_doc_id"] == r["doc_id"] - 1 and r["n_words"] >= 70}
         assert len(found) >= 36 and all(r["doc_id"] % 4 == 3 for r in got)
+
+
+# 6
+def test_rows_of_one_doc_id_are_nodes_of_their_own(spark):
+    """A row stays if no earlier row is near it, whatever its doc_id's other rows are."""
+    rng = random.Random(3)
+    some = lambda n: [f"w{rng.randrange(100_000)}" for _ in range(n)]
+    a, b, c = some(60), some(60), some(60)
+    near = [*a[:30], "changed", *a[31:]]
+    rows = [
+        (5, a, "x"), (7, near, "x"), (7, b, "x"), (7, b, "y"), (7, b, "x"), (9, c, "x"), (9, b, "z"), (None, a, "x"), (None, a, "x"),
+        (1, [], "x"), (1, [], "x"), (2, [], "y"),
+    ]
+    made = [(i, " ".join(w), s, 0.5) for i, w, s in rows] + [(3, None, "x", None), (3, None, "x", None)]
+    df = spark.createDataFrame(made, "doc_id long, text string, source string, copies double")
+    kept = trie_join.without_near_copies(df)
+    assert kept.columns == df.columns
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    want = {(5, " ".join(a)): 1, (7, " ".join(b)): 1, (9, " ".join(c)): 1, (None, " ".join(a)): 2, (1, ""): 2, (2, ""): 1, (3, None): 2}
+    assert got == want
+    assert trie_join.without_near_copies(df.limit(0)).count() == 0
+    linked = Counter((r["doc_id"], r["component_id"]) for r in trie_join.jaccard_join(df, 5, 80, 100).collect() if r["n_shingles"])
+    assert linked == {(5, 5): 1, (7, 5): 1, (7, 7): 3, (9, 9): 1, (9, 7): 1, (None, None): 2}

@@ -28,8 +28,9 @@ at most and by a shuffle beyond.
 Links are exact up to collisions of 64-bit hashes.
 
 Rows: null or blank text has an empty set, links with nothing and is its own component.
-Rows that share a doc_id are one node. A null doc_id takes no part and gets a null
-component. An empty table gives no rows. Only doc_id and text are read.
+Each row is a node of its own text: rows that share a doc_id are linked only if their texts
+are, and the component's id is the least doc_id of its rows. A null doc_id takes no part and
+gets a null component. An empty table gives no rows. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -485,6 +486,34 @@ def jaccard_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
         return _joined(docs, k, num, den, tables)
 
 
+def without_near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The documents, all columns, with one row of each component: that of the least doc_id, then hash of the text.
+
+    Rows, not doc_ids, are told apart, so a row is not lost because another of its doc_id is
+    a copy. Of rows with equal doc_id and text one stays, by a hash of all columns. Rows
+    without a word or without a doc_id all stay. Exact up to collisions of 64-bit hashes.
+    """
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("long"), "text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("own"), key.alias("doc_id"), "text")
+    with Tables(docs.sparkSession) as tables:
+        joined = jaccard_join(rows.select("doc_id", "text"), k, num, den).where("n_shingles > 0")
+        nodes = joined.groupBy("doc_id").agg(F.first("component_id").alias("component"), F.count(F.lit(1)).alias("n"))
+        own = rows.select("own", "doc_id").where("doc_id is not null").distinct()
+        nodes = tables.write(nodes.join(own, "doc_id"), "nodes")
+        first = nodes.groupBy("component").agg(F.min(F.struct("own", "doc_id")).alias("f")).select("f.doc_id")
+        several = nodes.where("n > 1").select("doc_id", "n").join(first, "doc_id")
+        gone = nodes.select("doc_id").join(first, "doc_id", "left_anti").withColumn("copies", F.lit(0))
+        marks = tables.write(gone.unionByName(several.select("doc_id", F.lit(1).alias("copies"))), "marks")
+        marks = marks.select(F.col("doc_id").alias("near_copy_key_"), F.col("copies").alias("near_copies_"))
+        met = docs.withColumn("near_copy_key_", key).join(marks, "near_copy_key_", "left")
+        whole = F.struct(*(F.col(c) for c in docs.columns))
+        once = (
+            met.where("near_copies_ = 1").groupBy("near_copy_key_")
+            .agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("row_")).select("row_.*")
+        )
+        return materialize(met.where("near_copies_ is null").select(*docs.columns).unionByName(once), "without_copies")
+
+
 def _joined(docs: DataFrame, k: int, num: int, den: int, tables: Tables) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
