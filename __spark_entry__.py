@@ -17,11 +17,13 @@ from velomart.plans import rollups
 from velomart.plans.publish import published, run_all
 from velomart.plans.reports import REPORTS, preview
 from velomart.schema import TRIP_FILE
+from velomart.sinks import pairs as sinks_pairs
 from velomart.sinks.mart import write_mart
 from velomart.sinks.reports import parquet_sink
 from velomart.sources.archives import unpack_archives
 from velomart.sources.mart import read_extremes, read_mart
 from velomart.sources.pages import extract_links
+from velomart.sources.rescue import read_trips_with_faults
 from velomart.sources.trips import classify_files, read_stations, read_trips
 from velomart.workspace import fresh_path, materialize, scope
 
@@ -59,6 +61,12 @@ def _scan_trips(spark: SparkSession, sf: str) -> DataFrame:
     return read_trips(spark, fixtures.export_trips(spark, sf))
 
 
+def _scan_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row of damaged files, with what is wrong with it."""
+    found = read_trips_with_faults(spark, fixtures.export_damaged(spark, sf), header=False)
+    return found.select("trip_id", "duration", "start_station", "bike_type", "fault")
+
+
 def _scan_recent(spark: SparkSession, sf: str) -> DataFrame:
     return read_trips(spark, fixtures.recent_files(fixtures.export_trips(spark, sf)))
 
@@ -151,6 +159,31 @@ def _run_all(spark: SparkSession, sf: str) -> DataFrame:
     return published(spark, folder, tables)
 
 
+def _laid_out(spark: SparkSession, sf: str) -> sinks_pairs.PairLayout:
+    path = fresh_path(spark, "pairs")
+    return sinks_pairs.write_pairs(fixtures.trips(spark, sf), path.rsplit("/", 1)[1].replace("-", "_"), path)
+
+
+def _laid_averages(spark: SparkSession, sf: str) -> DataFrame:
+    """Report 13 over trips laid out by their pair of stations."""
+    rows = sinks_pairs.with_averages(spark, _laid_out(spark, sf))
+    return rows.select(*pairs.PAIR, "avg", "duration", "bike_type")
+
+
+def _laid_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return _percentages(
+        pairs.shares_of(sinks_pairs.with_averages(spark, _laid_out(spark, sf), "left"))
+    )
+
+
+def _percentages(shares: DataFrame) -> DataFrame:
+    return shares.select(
+        "bike_type",
+        (F.col("below") * 100 / F.col("total")).alias("delay_percentage"),
+        (F.col("not_below") * 100 / F.col("total")).alias("good_percentage"),
+    )
+
+
 def _shared_bikes(spark: SparkSession, sf: str) -> DataFrame:
     """Bikes by type and by category, both from one table of bitmaps."""
     maps = rollups.bike_bitmaps(fixtures.trips(spark, sf))
@@ -179,13 +212,12 @@ def _own_queries() -> dict[str, Query]:
         "preview_r8": _preview("r8"),
         "preview_r13": _preview("r13"),
         "pair_shares": _over_trips(
-            lambda t: pairs.shares_around_average(t).select(
-                "bike_type",
-                (F.col("below") * 100 / F.col("total")).alias("delay_percentage"),
-                (F.col("not_below") * 100 / F.col("total")).alias("good_percentage"),
-            )
+            lambda t: _percentages(pairs.shares_around_average(t))
         ),
+        "r13_laid_out": _laid_averages,
+        "pair_shares_laid_out": _laid_shares,
         "scan_trips": _scan_trips,
+        "scan_faults": _scan_faults,
         "scan_recent": _scan_recent,
         "scan_stations": _scan_stations,
         "scan_archives": _scan_archives,
@@ -509,6 +541,8 @@ union all
 select 'category', trip_route_category, {_MONTH}, count(distinct bike_id)
 from trips where trip_route_category is not null group by 2,3""",
     }
+    over_trips["r13_laid_out"] = over_trips["r13"]
+    over_trips["pair_shares_laid_out"] = over_trips["pair_shares"]
     checksums = "\nunion all ".join(
         f"select '{key}' as report, * from ({checksum_sql(sql, _REPORT_COLUMNS[key].split(), _FRACTIONS)}) {key}"
         for key, sql in _report_sql().items()
@@ -516,6 +550,14 @@ from trips where trip_route_category is not null group by 2,3""",
     return {
         **{key: _TRIPS + sql for key, sql in over_trips.items()},
         "scan_trips": _RAW + "select * exclude (ordered_at) from raw",
+        "scan_faults": _RAW
+        + """select trip_id,
+       case when trip_id%97<>0 then duration end as duration,
+       case when trip_id%89=0 or trip_id%83<>0 then start_station end as start_station,
+       case when trip_id%89=0 or (trip_id%83<>0 and trip_id%7<>0) then bike_type end as bike_type,
+       case when trip_id%89=0 then 'surplus_field' when trip_id%83=0 then 'short_row'
+            when trip_id%97=0 then 'bad_value' end as fault
+from raw""",
         "scan_recent": _RAW
         + """select * exclude (ordered_at) from raw
 where ordered_at >= timestamp '2001-01-01'""",

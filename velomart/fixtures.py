@@ -215,6 +215,23 @@ def export_trips(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def export_damaged(spark: SparkSession, sf_dir: str) -> str:
+    """Write the trips as CSV lines without header; some are damaged, by their number."""
+    trip = F.col("trip_id")
+    bad = F.when(trip % 97 == 0, F.lit("n/a")).otherwise(F.col("duration").cast("string"))
+    fields = [bad.alias("duration") if n == "duration" else F.col(n) for n in TRIP_FILE.names]
+    newer, older = F.to_csv(F.struct(*fields)), F.to_csv(F.struct(*fields[:-1]))
+    line = (
+        F.when(trip % 89 == 0, F.concat(newer, F.lit(",more")))
+        .when(trip % 83 == 0, F.concat_ws(",", trip, bad))
+        .when(trip % 7 == 0, older)
+        .otherwise(newer)
+    )
+    path = fresh_path(spark, "damaged-files")
+    raw_trips(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return path
+
+
 def recent_files(folder: str) -> str:
     """The exported files of the recent quarters, as a glob."""
     return f"{folder}/quarter={{200[1-9],20[1-9][0-9],2[1-9][0-9][0-9]}}-q[1-4]"

@@ -46,11 +46,17 @@ def shares_around_average(
     """
     if averages is None:
         averages = written_averages(trips)
-    return (
+    return shares_of(
         lookup_join(
             trips.select(*PAIR, "duration", "bike_type"), averages, PAIR, how="left"
         )
-        .groupBy("bike_type")
+    )
+
+
+def shares_of(trips: DataFrame) -> DataFrame:
+    """``shares_around_average`` of trips that have their pair's ``avg`` beside them."""
+    return (
+        trips.groupBy("bike_type")
         .agg(
             F.sum(F.when(F.col("duration") < F.col("avg"), 1)).alias("below"),
             F.sum(F.when(F.col("duration") >= F.col("avg"), 1)).alias("not_below"),

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from velomart.functions.names import file_kind, last_segment
 from velomart.schema import STATION_FILE, TRIP_FILE
@@ -22,6 +23,11 @@ def _csv(spark: SparkSession, schema, header: bool):
     )
 
 
+def trip_csv(spark: SparkSession, schema: T.StructType = TRIP_FILE, header: bool = True):
+    """The reader of trip files."""
+    return _csv(spark, schema, header)
+
+
 def read_trips(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -35,7 +41,7 @@ def read_trips(
     are left out when the scan is planned, not read and dropped. A name that no file
     has is an error.
     """
-    trips = _csv(spark, TRIP_FILE, True).csv(paths)
+    trips = trip_csv(spark).csv(paths)
     name = F.col("_metadata.file_name")
     if by_kind:
         trips = trips.filter(file_kind(name) == "trips")
