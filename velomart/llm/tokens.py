@@ -2,8 +2,11 @@
 
 White space always separates tokens in this vocabulary, and every word is cut into
 pieces that are merged on their own. So the library encodes each new piece once and
-texts are put together from the words' ids. What is kept is bounded and only saves
-time: when it is full it is emptied.
+texts are put together from the words' ids. Equal words of a slice are looked up once.
+
+What is kept is bounded and only saves time. Words are kept in two halves: when the newer
+one is full it becomes the older one, whose words move to the newer when they are found
+again, so frequent words stay and those found once go.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from __future__ import annotations
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer, pre_tokenizers
 
@@ -47,10 +52,22 @@ class Encoder:
 
     def clear(self) -> None:
         self.words: dict[bytes, int] = {}
+        self.word_ids = _Lists()
+        self._age()
+
+    def _age(self) -> None:
+        """The newer half of the words becomes the older one."""
+        self.old_words, self.old_ids = self.words, self.word_ids
+        self.words, self.word_ids = {}, _Lists()
         self.pieces: dict[str, int] = {" ": 0}
-        self.word_ids, self.piece_ids = _Lists(), _Lists()
+        self.piece_ids = _Lists()
         self.piece_ids.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
+    def _keep(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.word_ids.add(ids, sizes)
+        first = len(self.words)
+        self.words.update(zip(words, range(first, first + len(words)), strict=True))
+
     def _slow_cut(self, word: bytes) -> list[str]:
         text = self.whole.normalizer.normalize_str(word.decode())
         return [p for p, _ in self.whole.pre_tokenizer.pre_tokenize_str(text)]
@@ -67,7 +84,8 @@ class Encoder:
     def cut_words(self, words: list[bytes]) -> tuple[list[bytes], list[str]]:
         """The words in another order, and their pieces, with a blank after each word's."""
         texts = [w.decode() for w in words]
-        plain = [t for t in texts if PLAIN.fullmatch(t) and "<|" not in t]
+        shown = lambda t: t.isprintable() if t.isascii() else PLAIN.fullmatch(t)
+        plain = [t for t in texts if shown(t) and "<|" not in t]
         cut = self.cut.findall(" ".join(plain).lower() + " ") if plain else []
         cut = [p if p.isascii() else _visible(p) for p in cut]
         ordered = [t.encode() for t in plain]
@@ -94,23 +112,31 @@ class Encoder:
             self._merge(new)
         index = np.fromiter(map(self.pieces.__getitem__, cut), np.int64, len(cut))
         ids, at = self.piece_ids.gather(index)
-        self.word_ids.add(ids, np.diff(at[1:][index == 0], prepend=0))
-        first = len(self.words)
-        self.words.update(zip(ordered, range(first, first + len(ordered)), strict=True))
+        self._keep(ordered, ids, np.diff(at[1:][index == 0], prepend=0))
+
+    def _places(self, words: list[bytes]) -> np.ndarray:
+        """Where the ids of these words, all different, stand among those of the newer half."""
+        unknown = [w for w in words if w not in self.words]
+        if unknown and len(self.words) + len(unknown) > self.kept // 2:
+            self._age()
+            unknown = words
+        if found := [w for w in unknown if w in self.old_words]:
+            ids, at = self.old_ids.gather(np.fromiter(map(self.old_words.__getitem__, found), np.int64, len(found)))
+            self._keep(found, ids, np.diff(at))
+            unknown = [w for w in unknown if w not in self.old_words]
+        if unknown:
+            self._learn(unknown)
+        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids on end, and where each text's begin."""
-        split = [t.encode().split() for t in texts]
-        words = list(chain.from_iterable(split))
-        unknown = set(words).difference(self.words)
-        if unknown and len(self.words) + len(unknown) > self.kept:
-            self.clear()
-            unknown = set(words)
-        if unknown:
-            self._learn(list(unknown))
-        index = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        ids, at = self.word_ids.gather(index)
-        return ids, at[np.cumsum([0, *map(len, split)])]
+        # At either end of a text the split may leave an empty word, which has no ids.
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        places = self._places(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        ids, at = self.word_ids.gather(places[coded.indices.to_numpy()])
+        sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        return ids, at[np.cumsum([0, *sizes])]
 
 
 def _visible(piece: str) -> str:
