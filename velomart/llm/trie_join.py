@@ -97,7 +97,10 @@ class Order:
 
     def __init__(self, counts: np.ndarray):
         """``counts`` of all cells; they are kept as steps of a quarter of a doubling, a byte each."""
-        self.steps = np.round(4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
+        self.steps = np.empty(len(counts), np.uint8)
+        for at in range(0, len(counts), CHUNK):  # all at once would take several times the sketch
+            part = slice(at, at + CHUNK)
+            self.steps[part] = np.round(4 * np.log2(np.maximum(counts[part], 1)))
         self.total = int(counts.sum(dtype=np.int64))
 
     def sort(self, grams: np.ndarray) -> np.ndarray:
