@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from velomart.llm.text import mapped, strings
-from velomart.llm.tokens import KEPT_WORDS, encoder
+from velomart.llm.tokens import KEPT_WORDS, encoder, forget
 from velomart.workspace import materialize
 
 CAPACITY = 2048
@@ -93,7 +93,9 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return rows
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0, kept: int = KEPT_WORDS) -> DataFrame:
+def pieces(
+    docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0, kept: int = KEPT_WORDS, stay: bool = True
+) -> DataFrame:
     """Pieces of each document, numbered within their length and task (``part``, ``nth``)."""
 
     def each(batch: pa.RecordBatch):
@@ -119,17 +121,21 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
         }
 
     seen: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(capacity + 1, np.int64))
-    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), PIECES, each)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return mapped(texts, PIECES, each, None if stay else forget)
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0, kept: int = KEPT_WORDS) -> DataFrame:
+def pack(
+    docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0, kept: int = KEPT_WORDS, stay: bool = True
+) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null text counts as empty, and gives one piece of the end id. Rows that share a
     doc_id are packed each on its own. An empty table gives no rows. Columns other than
-    doc_id and text are not read. ``kept`` bounds the words that a Python worker keeps.
+    doc_id and text are not read. ``kept`` bounds the words that a Python worker keeps;
+    without ``stay`` it gives them up at the end of each task, for jobs with other stages.
     """
-    cut = materialize(pieces(docs, vocabulary, capacity, end_id, kept), "pieces")
+    cut = materialize(pieces(docs, vocabulary, capacity, end_id, kept, stay), "pieces")
     by_part = cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))

@@ -42,6 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of each part take about ``SLICE_BYTES`` at most."""
+    release()  # what the task before freed after its last slice
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -145,15 +146,19 @@ def word_list(text: str) -> list[bytes]:
 
 
 def mapped(
-    docs: DataFrame, schema: str, function: Callable[[pa.RecordBatch], Iterable[dict]]
-) -> DataFrame:
-    """``function`` over bounded slices; it gives dictionaries of columns."""
+    docs: DataFrame, schema: str, function: Callable[[pa.RecordBatch], Iterable[dict]],
+    at_end: Callable[[], None] | None = None,
+) -> DataFrame:
+    """``function`` over bounded slices; it gives dictionaries of columns. Each task ends with ``at_end``."""
     arrow = to_arrow(schema)
 
     def run(batches):
         for part in slices(batches):
             for columns in function(part):
                 yield batch_of(columns, arrow)
+        if at_end is not None:
+            at_end()
+            release()
 
     return docs.mapInArrow(run, schema)
 

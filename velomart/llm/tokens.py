@@ -194,3 +194,8 @@ def encoder(path: str, kept: int = KEPT_WORDS) -> Encoder:
         _encoders[path] = Encoder(path)
     _encoders[path].kept = kept
     return _encoders[path]
+
+
+def forget() -> None:
+    """Give up the worker's encoders; the next text makes a new one."""
+    _encoders.clear()
