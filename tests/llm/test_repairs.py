@@ -131,6 +131,29 @@ def test_parts_in_earlier_documents_do_not_hide_the_whole(spark):
         assert len(found) >= 36 and all(r["doc_id"] % 4 == 3 for r in got)
 
 
+# 8
+@pytest.mark.parametrize("held, frequent", [(32, chains.FULL), (0, chains.FULL), (32, -1.0)])
+def test_parts_before_and_after_do_not_hide_the_whole(spark, held, frequent):
+    """Halves in two documents before the whole and in two after it; the last has it with 4 of 80 words changed."""
+    rng = random.Random(13)
+    some = lambda n: [f"w{rng.randrange(1_000_000)}" for _ in range(n)]
+    rows = []
+    for _ in range(40):
+        p = some(80)
+        q = list(p)
+        for j in rng.sample(range(2, 78), 4):
+            q[j] = some(1)[0]
+        for own in (p[:40], p[40:], p, p[:40], p[40:], q):
+            rows.append((len(rows), " ".join(some(20) + own + some(20)), "en", "s", 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(chains, "HELD", held, raising=False)
+        m.setattr(chains, "FULL", frequent)
+        got = chains.repeated_passages(df).collect()
+    found = {r["doc_id"] for r in got if r["doc_id"] % 6 == 5 and r["source_doc_id"] == r["doc_id"] - 3 and r["n_words"] >= 70}
+    assert len(found) == 40 and all(r["doc_id"] % 6 == 5 for r in got)
+
+
 # 6
 def test_rows_of_one_doc_id_are_nodes_of_their_own(spark):
     """A row stays if no earlier row is near it, whatever its doc_id's other rows are."""
