@@ -133,15 +133,27 @@ def mixed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fifteen columns of a trip file, plus the ``quarter`` it belongs to."""
-    key = F.col("l_orderkey")
-    start = F.col("o_orderdate")
-    joined = (
+def _line_items_with_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with all that a trip file is made of."""
+    return (
         _line_items_with_ends(spark, sf_dir)
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifteen columns of a trip file, plus the ``quarter`` it belongs to."""
+    return _trip_columns(_line_items_with_all(spark, sf_dir))
+
+
+def _quarter(time: Column) -> Column:
+    return F.concat(F.year(time).cast("string"), F.lit("-q"), F.quarter(time).cast("string"))
+
+
+def _trip_columns(joined: DataFrame) -> DataFrame:
+    key = F.col("l_orderkey")
+    start = F.col("o_orderdate")
     return joined.select(
         _trip_id(),
         _duration(),
@@ -158,9 +170,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         _category(),
         F.col("c_mktsegment").alias("passholder_type"),
         F.col("p_type").alias("bike_type"),
-        F.concat(
-            F.year(start).cast("string"), F.lit("-q"), F.quarter(start).cast("string")
-        ).alias("quarter"),
+        _quarter(start).alias("quarter"),
     )
 
 
@@ -202,13 +212,22 @@ def classed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").withColumn("html", html)
 
 
-def export_trips(spark: SparkSession, sf_dir: str) -> str:
-    """Write the trips as CSV files with headers, a folder per quarter."""
+def dealt_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with all that a trip file is made of, gathered by quarter."""
+    number = F.year("o_orderdate") * 4 + F.quarter("o_orderdate")
+    return _line_items_with_all(spark, sf_dir).withColumn("dealt_by_", number).hint("rebalance", "dealt_by_")
+
+
+def export_trips(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
+    """Write the trips as CSV files with headers, a folder per quarter.
+
+    Rows are dealt while they are narrow; texts and places are made of them afterwards.
+    """
     path = fresh_path(spark, "trip-files")
     (
-        raw_trips(spark, sf_dir)
-        .hint("rebalance", "quarter")
+        _trip_columns(dealt_items(spark, sf_dir))
         .write.option("header", True)
+        .option("compression", compression)
         .partitionBy("quarter")
         .csv(path)
     )
