@@ -18,7 +18,7 @@ from velomart.plans.publish import published, run_all
 from velomart.plans.reports import REPORTS, preview
 from velomart.schema import TRIP_FILE
 from velomart.sinks import pairs as sinks_pairs
-from velomart.sinks.mart import write_mart
+from velomart.sinks.mart import by_month, write_mart
 from velomart.sinks.reports import parquet_sink
 from velomart.sources.archives import unpack_archives
 from velomart.sources.mart import read_extremes, read_mart
@@ -141,10 +141,10 @@ def _mart_extremes(spark: SparkSession, sf: str) -> DataFrame:
     """A mart written whole, then its months from 1995 on written again by themselves."""
     path = fresh_path(spark, "mart")
     with scope(spark):
-        built = materialize(_built(spark, sf), "built")
-        write_mart(built, path)
+        built = materialize(by_month(_built(spark, sf)), "built")
+        write_mart(built, path, dealt=True)
         later = built.filter(F.col("start_station_time") >= F.lit("1995-01-01").cast("date"))
-        write_mart(later.filter("duration > 5"), path, keep_other_months=True)
+        write_mart(later.filter("duration > 5"), path, keep_other_months=True, dealt=True)
     return read_extremes(spark, path)
 
 

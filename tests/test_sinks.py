@@ -9,8 +9,9 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from velomart import workspace
-from velomart.sinks.mart import write_mart
+from velomart.sinks.mart import by_month, write_mart
 from velomart.sinks.reports import jdbc_sink, parquet_sink, spread
+from velomart.sources.mart import read_extremes
 from velomart.workspace import fresh_path, materialize, work_dir
 
 
@@ -195,3 +196,35 @@ def test_longest_rides_read_the_summary_not_the_trips(spark):
             # Of the trips the report's own columns, and the extremes; never their durations alone.
             assert f"{of}:int" in scans and "duration:int" not in scans, (key, scans)
         df = df.where("duration between 4 and 30")
+
+
+def test_dealt_trips_are_written_without_a_shuffle(spark, tmp_path):
+    """The same mart and summary as from trips that are not dealt yet; a part holds few months."""
+    days = spark.range(0, 6000).selectExpr(
+        "id as trip_id", "if(id % 9 = 0, null, date_add(date'2020-01-05', int(id % 60) * 31)) as start_station_time",
+        "int(id % 50) as duration",
+    )
+    table = str(tmp_path / "built")
+    by_month(days).write.parquet(table)
+    built = spark.read.parquet(table)
+    assert built.columns == days.columns
+    plans = []
+    for name, trips, dealt in (("plain", days, False), ("dealt", built, True)):
+        write_mart(trips, str(tmp_path / name), dealt=dealt)
+        write_mart(trips.filter("duration > 5 and start_station_time > date'2022-01-01'"), str(tmp_path / name), True, dealt)
+        mart = spark.read.parquet(str(tmp_path / name))
+        plans.append((
+            sorted(map(str, mart.select("trip_id", "month_year").collect())),
+            sorted(map(str, read_extremes(spark, str(tmp_path / name)).collect())),
+        ))
+    assert plans[0] == plans[1] and len(plans[0][1]) > 40
+
+
+def test_trips_are_dealt_before_their_texts_are_made(spark):
+    """What is shuffled for the trip files has no column that can be made of others."""
+    from velomart import fixtures
+
+    dealt = fixtures.dealt_items(spark, "/root/testdata/sf0.001")
+    assert not {"start_time", "end_time", "start_lat", "end_lat", "bike_id", "quarter"} & set(dealt.columns)
+    plain = sorted(map(str, fixtures.raw_trips(spark, "/root/testdata/sf0.001").collect()))
+    assert sorted(map(str, fixtures._trip_columns(dealt).collect())) == plain

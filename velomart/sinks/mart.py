@@ -10,14 +10,21 @@ from velomart.functions.dates import month_bucket
 from velomart.sources.mart import STALE, SUMMARY, month_extremes
 
 
-def write_mart(trips: DataFrame, path: str, keep_other_months: bool = False) -> None:
+def by_month(trips: DataFrame) -> DataFrame:
+    """The trips gathered by start month, in parts of the advisory partition size."""
+    month = month_bucket(F.col("start_station_time"))
+    return trips.withColumn("dealt_by_", month).hint("rebalance", "dealt_by_").drop("dealt_by_")
+
+
+def write_mart(trips: DataFrame, path: str, keep_other_months: bool = False, dealt: bool = False) -> None:
     """Overwrite ``path`` with the trips, one folder per start month.
 
     With ``keep_other_months`` only the folders of months that the trips have are
     replaced. Without the rebalance every task would open a file in every month. With it
     each month is gathered into files of the advisory partition size: adaptive
     execution cuts a month that is too large into several tasks and packs small
-    ones together, so one hot month is no straggler.
+    ones together, so one hot month is no straggler. Trips from a table that was written
+    ``by_month`` are ``dealt``: its parts hold few months each and are not moved again.
 
     Beside the months, in a folder that scans of the mart pass over, lies the least and
     greatest duration of each. It is taken from the months just written, one narrow
@@ -32,7 +39,7 @@ def write_mart(trips: DataFrame, path: str, keep_other_months: bool = False) ->
     if keep_other_months:
         workspace.touch(spark, f"{path}/{STALE}")
     (
-        rows.hint("rebalance", "month_year")
+        (rows if dealt else rows.hint("rebalance", "month_year"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if keep_other_months else "static")
         .partitionBy("month_year")
