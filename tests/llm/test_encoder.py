@@ -1,5 +1,6 @@
 """The encoder that keeps words: equal to the library whatever is kept, and its end."""
 
+import pyarrow as pa
 import pytest
 
 from velomart.llm import tokens
@@ -36,3 +37,47 @@ def test_forgotten_encoders_are_made_again():
     assert tokens.encoder(tokens.vocabulary_path(), 10) is first
     tokens.forget()
     assert tokens.encoder(tokens.vocabulary_path(), 10) is not first
+
+
+class Counted(dict):
+    """Counts its lookups."""
+
+    lookups = 0
+
+    def get(self, *args):
+        self.lookups += 1
+        return super().get(*args)
+
+    def __contains__(self, key):
+        self.lookups += 1
+        return super().__contains__(key)
+
+    def __getitem__(self, key):
+        self.lookups += 1
+        return super().__getitem__(key)
+
+
+def test_a_known_word_costs_one_lookup_a_slice():
+    enc = tokens.Encoder(tokens.vocabulary_path())
+    want = enc.encode(TEXTS)
+    enc.words = Counted(enc.words)
+    got = enc.encode(TEXTS)
+    assert [x.tolist() for x in got] == [x.tolist() for x in want]
+    assert enc.words.lookups == len(enc.words)
+
+
+def test_texts_may_come_as_a_column():
+    enc = tokens.Encoder(tokens.vocabulary_path())
+    want = enc.encode(["", "a é b", "x"])
+    got = enc.encode(pa.array([None, "a é b", "x"]))
+    assert [x.tolist() for x in got] == [x.tolist() for x in want]
+
+
+def test_pieces_are_shown_as_the_vocabulary_writes_them():
+    every = "".join(map(chr, range(33, 0x3000)))
+    pieces = [c for c in every] + [every, "a", "é" * 3, "日本", "𝒳"]
+    want = [p if p.isascii() else p.encode().decode("latin-1").translate(tokens.BYTES) for p in pieces]
+    # What is shown otherwise below 128 never stands in a piece of a plain word.
+    want = [w.replace(chr(tokens.BYTES[127]), "\x7f") for w in want]
+    tokens._make_visible(pieces)
+    assert pieces == want

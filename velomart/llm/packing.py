@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from velomart.llm.text import mapped, strings
+from velomart.llm.text import mapped
 from velomart.llm.tokens import KEPT_WORDS, encoder, forget
 from velomart.workspace import materialize
 
@@ -99,7 +99,7 @@ def pieces(
     """Pieces of each document, numbered within their length and task (``part``, ``nth``)."""
 
     def each(batch: pa.RecordBatch):
-        ids, at = encoder(vocabulary, kept).encode(strings(batch.column("text")))
+        ids, at = encoder(vocabulary, kept).encode(batch.column("text"))
         rows = []
         for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), at, at[1:]):
             own = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")

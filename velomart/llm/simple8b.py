@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from velomart.llm.text import batch_of, slices, strings, to_arrow
+from velomart.llm.text import batch_of, slices, to_arrow
 from velomart.llm.tokens import encoder
 from velomart.workspace import fresh_path, materialize
 
@@ -174,7 +174,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int =
             return batch_of({"record": [made]}, arrow)
 
         for batch in slices(batches):
-            ids, at = enc.encode(strings(batch.column("text")))
+            ids, at = enc.encode(batch.column("text"))
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                 one = np.append(ids[at[i] : at[i + 1]], np.uint32(end_id))
                 keys.append(doc_id)

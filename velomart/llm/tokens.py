@@ -11,7 +11,8 @@ again, so frequent words stay and those found once go.
 
 from __future__ import annotations
 
-from itertools import chain
+import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,11 @@ from tokenizers import Tokenizer, pre_tokenizers
 KEPT_WORDS = 700_000
 #: The cut of the vocabulary's own pre-tokenizer (fixed values).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same cut of ASCII text in lower case.
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+| ")
 END = "</w>"
 #: Words that normalising changes in case only: no marks to compose, no other white space.
-PLAIN = regex.compile("[\x21-\x7e\xa1-\u024f]+")
+PLAIN = r"^[\x21-\x7e\x{a1}-\x{24f}]*$"
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -63,10 +66,12 @@ class Encoder:
         self.piece_ids = _Lists()
         self.piece_ids.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
-    def _keep(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _keep(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Add words to the newer half; where they stand."""
         self.word_ids.add(ids, sizes)
         first = len(self.words)
         self.words.update(zip(words, range(first, first + len(words)), strict=True))
+        return np.arange(first, first + len(words))
 
     def _slow_cut(self, word: bytes) -> list[str]:
         text = self.whole.normalizer.normalize_str(word.decode())
@@ -83,65 +88,111 @@ class Encoder:
 
     def cut_words(self, words: list[bytes]) -> tuple[list[bytes], list[str]]:
         """The words in another order, and their pieces, with a blank after each word's."""
-        texts = [w.decode() for w in words]
-        shown = lambda t: t.isprintable() if t.isascii() else PLAIN.fullmatch(t)
-        plain = [t for t in texts if shown(t) and "<|" not in t]
-        cut = self.cut.findall(" ".join(plain).lower() + " ") if plain else []
-        cut = [p if p.isascii() else _visible(p) for p in cut]
-        ordered = [t.encode() for t in plain]
-        if len(plain) < len(texts):
-            chosen = set(plain)
-            for w, t in zip(words, texts):
-                if t not in chosen:
-                    ordered.append(w)
-                    if any(s in w for s in self.special):  # their strings are tokens of their own
-                        cut.append(t + " ")
-                    else:
-                        cut += self._slow_cut(w)
-                    cut.append(" ")
-        return ordered, cut
-
-    def _learn(self, words: list[bytes]) -> None:
-        ordered, cut = self.cut_words(words)
-        for key in cut:
-            if len(key) > 1 and key[-1] == " " and key not in self.pieces:
+        order, cut = self._cut_in_order(words)
+        return [words[i] for i in order.tolist()], cut
+
+    def _cut_in_order(self, words: list[bytes]) -> tuple[np.ndarray, list[str]]:
+        """Which word comes when, and the pieces of all, with a blank after each word's."""
+        coded = pa.array(words, pa.large_binary())
+        texts = coded.cast(pa.large_string())
+        shown = pc.and_not(pc.match_substring_regex(texts, PLAIN), pc.match_substring(texts, "<|"))
+        ascii_ = pc.string_is_ascii(texts)
+        plain, wide, odd = pc.and_(shown, ascii_), pc.and_not(shown, ascii_), pc.invert(shown)
+        cut = _cut_all(ASCII_PIECES, coded.filter(plain))
+        beyond = _cut_all(self.cut, coded.filter(wide))
+        _make_visible(beyond)
+        cut += beyond
+        rest = np.flatnonzero(odd)
+        for w in map(words.__getitem__, rest.tolist()):
+            if any(s in w for s in self.special):  # their strings are tokens of their own
+                cut.append(w.decode() + " ")
+            else:
+                cut += self._slow_cut(w)
+            cut.append(" ")
+        return np.concatenate([np.flatnonzero(plain), np.flatnonzero(wide), rest]), cut
+
+    def _learn(self, words: list[bytes]) -> np.ndarray:
+        """Keep the ids of new words; where they stand."""
+        order, cut = self._cut_in_order(words)
+        known = self.pieces
+        # A piece stands many times in a slice: it is looked up among the slice's own first.
+        own = dict.fromkeys(cut)
+        for key in own:
+            if len(key) > 1 and key[-1] == " " and key not in known:
                 special = self.whole.encode(key[:-1], add_special_tokens=False).ids
-                self.pieces[key] = len(self.pieces)
+                known[key] = len(known)
                 self.piece_ids.add(np.array(special, np.uint32), np.array([len(special)]))
-        if new := list({p: None for p in cut if p not in self.pieces}):
+        if new := [p for p in own if p not in known]:
             self._merge(new)
-        index = np.fromiter(map(self.pieces.__getitem__, cut), np.int64, len(cut))
+        own = {p: known[p] for p in own}
+        index = np.fromiter(map(own.__getitem__, cut), np.int64, len(cut))
         ids, at = self.piece_ids.gather(index)
-        self._keep(ordered, ids, np.diff(at[1:][index == 0], prepend=0))
+        places = np.empty(len(words), np.int64)
+        places[order] = self._keep([words[i] for i in order.tolist()], ids, np.diff(at[1:][index == 0], prepend=0))
+        return places
 
     def _places(self, words: list[bytes]) -> np.ndarray:
         """Where the ids of these words, all different, stand among those of the newer half."""
-        unknown = [w for w in words if w not in self.words]
-        if unknown and len(self.words) + len(unknown) > self.kept // 2:
+        places = _found(self.words, words)
+        rest = np.flatnonzero(places < 0)
+        if len(rest) and len(self.words) + len(rest) > self.kept // 2:
             self._age()
-            unknown = words
-        if found := [w for w in unknown if w in self.old_words]:
-            ids, at = self.old_ids.gather(np.fromiter(map(self.old_words.__getitem__, found), np.int64, len(found)))
-            self._keep(found, ids, np.diff(at))
-            unknown = [w for w in unknown if w not in self.old_words]
-        if unknown:
-            self._learn(unknown)
-        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids on end, and where each text's begin."""
+            rest = np.arange(len(words))
+        if len(rest) and self.old_words:
+            old = _found(self.old_words, [words[i] for i in rest.tolist()])
+            again = rest[old >= 0]
+            if len(again):
+                ids, at = self.old_ids.gather(old[old >= 0])
+                places[again] = self._keep([words[i] for i in again.tolist()], ids, np.diff(at))
+            rest = rest[old < 0]
+        if len(rest):
+            places[rest] = self._learn([words[i] for i in rest.tolist()])
+        return places
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids on end, and where each text's begin; null counts as empty."""
         # At either end of a text the split may leave an empty word, which has no ids.
-        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        split = pc.ascii_split_whitespace(pc.fill_null(pa.array(texts).cast(pa.large_string()), ""))
         coded = split.flatten().dictionary_encode()
-        places = self._places(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        places = self._places(_listed(coded.dictionary.cast(pa.large_binary())))
         ids, at = self.word_ids.gather(places[coded.indices.to_numpy()])
         sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False)
         return ids, at[np.cumsum([0, *sizes])]
 
 
-def _visible(piece: str) -> str:
-    """The piece's UTF-8 bytes as the vocabulary writes them."""
-    return piece.encode().decode("latin-1").translate(BYTES)
+def _found(numbers: dict[bytes, int], words: list[bytes]) -> np.ndarray:
+    """The number of each word, -1 if it has none."""
+    return np.fromiter(map(numbers.get, words, repeat(-1)), np.int64, len(words))
+
+
+def _joined(words: pa.Array) -> bytes:
+    ends = pa.array([0, len(words)], pa.int64())
+    return pc.binary_join(pa.LargeListArray.from_arrays(ends, words), pa.scalar(b" ", words.type))[0].as_py()
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    """Words without blanks as a list, by one cut of all of them."""
+    return _joined(words).split(b" ") if len(words) else []
+
+
+def _cut_all(cutter, words: pa.Array) -> list[str]:
+    """Pieces of the words in lower case, with a blank after each word's."""
+    return cutter.findall(_joined(words).decode().lower() + " ") if len(words) else []
+
+
+def _make_visible(pieces: list[str]) -> None:
+    """Put for each piece its UTF-8 bytes as the vocabulary writes them. No piece holds a line end."""
+    at = [i for i, p in enumerate(pieces) if not p.isascii()]
+    if not at:
+        return
+    data = np.frombuffer("\n".join([pieces[i] for i in at]).encode(), np.uint8)
+    high = data >= 128
+    place = np.arange(len(data)) + np.cumsum(high) - high
+    out = np.empty(len(data) + int(high.sum()), np.uint8)
+    out[place] = LEAD[data]
+    out[place[high] + 1] = TRAIL[data[high]]
+    for i, p in zip(at, out.tobytes().decode().split("\n"), strict=True):
+        pieces[i] = p
 
 
 def _byte_characters() -> dict[int, int]:
@@ -152,6 +203,10 @@ def _byte_characters() -> dict[int, int]:
 
 
 BYTES = _byte_characters()
+#: The first and second byte in UTF-8 of what a byte from 128 on is shown as; those below stand for themselves.
+LEAD, TRAIL = np.arange(256, dtype=np.uint8), np.zeros(256, np.uint8)
+for _byte in range(128, 256):
+    LEAD[_byte], TRAIL[_byte] = chr(BYTES.get(_byte, _byte)).encode()
 
 
 class _Lists:
