@@ -5,11 +5,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from velomart.llm import chains, lexicon, omh, quality, simple8b, tokens, toxicity, trie_join
+import corpus_pipeline
+from velomart.llm import chains, lexicon, omh, quality, simple8b, text, tokens, toxicity, trie_join
 from velomart.llm.text import table
 from velomart.workspace import materialize
 
@@ -175,3 +177,22 @@ def test_rows_of_one_doc_id_are_nodes_of_their_own(spark):
     assert trie_join.without_near_copies(df.limit(0)).count() == 0
     linked = Counter((r["doc_id"], r["component_id"]) for r in trie_join.jaccard_join(df, 5, 80, 100).collect() if r["n_shingles"])
     assert linked == {(5, 5): 1, (7, 5): 1, (7, 7): 3, (9, 9): 1, (9, 7): 1, (None, None): 2}
+
+
+def test_batches_of_long_texts_are_bounded_in_the_pipeline(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    df = spark.range(0, 60, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('long text ', 20000)").alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    try:
+        corpus_pipeline.drop_near_copies(spark, df.limit(0), "")
+        largest = max(r["n"] for r in df.mapInArrow(sizes, "n long").collect())
+        assert largest <= text.BATCH_BYTES + 300_000
+        spark.conf.set(name, "1m")  # what the session sets itself stays
+        text.bound_batches(spark)
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.unset(name)

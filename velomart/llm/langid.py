@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velomart.llm.text import batch_of, mapped, slices, strings, to_arrow
+from velomart.llm.text import batch_of, mapped, release, slices, strings, to_arrow
 
 WINDOW = 24
 UNDEFINED = "und"
@@ -270,6 +270,8 @@ def keep_known(docs: DataFrame, network: BiGRU | None, least: float) -> DataFram
                 continue
             pred, score = predictor(strings(batch.column("text")))
             yield batch.filter(pa.array([p != UNDEFINED and s >= least for p, s in zip(pred, score)], pa.bool_()))
+        del predictor
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 
