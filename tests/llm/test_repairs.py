@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from velomart.llm import chains, lexicon, omh, quality, simple8b, text, tokens, toxicity, trie_join
 from velomart.llm.text import table
-from velomart.workspace import materialize
+from velomart.workspace import Tables, materialize
 
 SF = "/root/testdata/sf0.01"
 VOCABULARY = tokens.vocabulary_path()
@@ -196,3 +196,31 @@ def test_batches_of_long_texts_are_bounded_in_the_pipeline(spark):
         assert spark.conf.get(name) == "1m"
     finally:
         spark.conf.unset(name)
+
+
+def _holders(spark, rows):
+    """What open seeds lead to, of rows of seed, doc_id, pos and the number of holders."""
+    met = spark.createDataFrame(rows, "seed long, doc_id long, pos long, holders long")
+    open_ = met.selectExpr("*", "0L as hub", "0L as hub_pos", "doc_id as earlier")
+    with Tables(spark) as tables:
+        found = chains._all_holders(met, open_, 21, tables)
+        return {tuple(r) for r in found.select("doc_id", "hub", "pos", "hub_pos").collect()}
+
+
+def test_runs_of_one_word_do_not_meet_each_other(spark):
+    # Without any other seed in common the two places of a pair of equal seeds make no chain.
+    assert _holders(spark, [(7, doc, pos, 60) for doc in range(2, 62) for pos in range(5, 35)]) == set()
+
+
+def test_runs_of_one_word_are_added_where_another_seed_leads(spark):
+    rows = [(7, doc, pos, 60) for doc in range(2, 62) for pos in range(5, 35)]
+    rows += [(8, doc, 40, 2) for doc in (10, 20)]
+    found = _holders(spark, rows)
+    assert {(doc, hub) for doc, hub, *_ in found} == {(20, 10)}
+    assert {(40, 40), (5, 5), (34, 26)} <= {(pos, at) for *_, pos, at in found}
+
+
+def test_pairs_of_two_equal_seeds_meet_without_a_pair_of_both(spark):
+    rows = [(seed, doc, pos, 60) for doc in (10, 20) for seed, pos in ((7, 0), (7, 60), (8, 70), (8, 130))]
+    found = _holders(spark, rows)
+    assert found == {(20, 10, pos, pos) for pos in (0, 60, 70, 130)}
