@@ -224,3 +224,10 @@ def test_pairs_of_two_equal_seeds_meet_without_a_pair_of_both(spark):
     rows = [(seed, doc, pos, 60) for doc in (10, 20) for seed, pos in ((7, 0), (7, 60), (8, 70), (8, 130))]
     found = _holders(spark, rows)
     assert found == {(20, 10, pos, pos) for pos in (0, 60, 70, 130)}
+
+
+def test_hashing_keeps_no_long_arrays_between_tasks():
+    words = text.Words(pa.array(["ab cd é " * 250_000, "", None, "cd"]))
+    assert words.hashes[1] == words.hashes[-1] and len(set(words.hashes.tolist())) == 3
+    held = [v for value in vars(text).values() for v in (value.values() if isinstance(value, dict) else [value])]
+    assert sum(v.nbytes for v in held if isinstance(v, np.ndarray)) < 1 << 21
