@@ -12,7 +12,7 @@ from velomart.functions.checksum import checksum_sql
 from velomart.functions.dates import mixed_date, month_bucket
 from velomart.functions.names import last_segment
 from velomart.operators import enrich, filters, pairs
-from velomart.plans.mart import build_mart
+from velomart.plans.mart import build_mart, land_mart
 from velomart.plans import rollups
 from velomart.plans.publish import published, run_all
 from velomart.plans.reports import REPORTS, preview
@@ -24,7 +24,7 @@ from velomart.sources.archives import unpack_archives
 from velomart.sources.mart import read_extremes, read_mart
 from velomart.sources.pages import extract_links
 from velomart.sources.rescue import read_trips_with_faults
-from velomart.sources.trips import classify_files, read_stations, read_trips
+from velomart.sources.trips import classify_files, read_stations, read_trips, trip_parts
 from velomart.workspace import fresh_path, materialize, scope
 
 try:
@@ -105,10 +105,14 @@ def _mixed_dates(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _built(spark: SparkSession, sf: str) -> DataFrame:
+def _mart_files(spark: SparkSession, sf: str) -> tuple[str, str]:
     # Read twice in whole files of the size of one task's rows, so that nothing has to split them.
     folder = fixtures.export_trips(spark, sf, compression="lz4")
-    stations = fixtures.export_stations(fixtures.station_table(spark, sf))
+    return folder, fixtures.export_stations(fixtures.station_table(spark, sf))
+
+
+def _built(spark: SparkSession, sf: str) -> DataFrame:
+    folder, stations = _mart_files(spark, sf)
     return build_mart(
         read_trips(spark, folder),
         read_trips(spark, fixtures.recent_files(folder)),
@@ -152,8 +156,16 @@ def _run_all(spark: SparkSession, sf: str) -> DataFrame:
     """Publish everything from a landed mart: rows and checksum of what was published."""
     folder = fresh_path(spark, "reports")
     mart = fresh_path(spark, "mart")
+    with scope(spark):  # the trip files go before the reports are made
+        files, stations = _mart_files(spark, sf)
+        land_mart(
+            read_trips(spark, files),
+            trip_parts(spark, files),
+            read_trips(spark, fixtures.recent_files(files)),
+            read_stations(spark, stations),
+            mart,
+        )
     with scope(spark):
-        write_mart(_built(spark, sf), mart)
         tables = run_all(
             read_mart(spark, mart), parquet_sink(folder), pass_type=fixtures.PASS_TYPE
         )

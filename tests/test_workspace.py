@@ -1,8 +1,10 @@
 import os
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
-from velomart.workspace import Tables, materialize, work_dir
+from velomart.workspace import Tables, materialize, scope, work_dir
 
 
 def _folders(spark, *names):
@@ -30,3 +32,30 @@ def test_tables_go_when_no_longer_read_and_on_failure(spark):
         raise RuntimeError
     assert _folders(spark, "scope-b", "scope-c") == {"scope-b": [], "scope-c": []}
     assert kept.count() == 4
+
+
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+def test_a_scope_holds_the_shuffle_files_of_one_query_at_a_time(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = _shuffle_files(spark)
+    with scope(spark):
+        for n in range(3):
+            spread = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+            assert materialize(spread, f"scope-spread-{n}").count() == 7
+        for _ in range(50):  # they are deleted beside the queries
+            if not _shuffle_files(spark) - before:
+                break
+            time.sleep(0.1)
+        assert not _shuffle_files(spark) - before
+    assert spark.conf.get(setting, None) is None
+    spark.conf.set(setting, "false")
+    try:
+        with scope(spark):
+            assert spark.conf.get(setting) == "false"
+        assert spark.conf.get(setting) == "false"
+    finally:
+        spark.conf.unset(setting)

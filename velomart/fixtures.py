@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from velomart.functions.dates import ISO_TIME, US_TIME
 from velomart.schema import TRIP_FILE
-from velomart.workspace import fresh_path
+from velomart.workspace import fresh_path, size, working_path
 
 # The pass type that stands for the monthly pass.
 PASS_TYPE = "MACHINERY"
@@ -25,6 +25,10 @@ PASS_TYPE = "MACHINERY"
 RECENT_FROM = "2001-01-01"
 
 
+# Bytes of line items whose trips are joined and written at once. What is shuffled for them
+# takes several times as much disk until they are written.
+EXPORT_BYTES = 512 * 1024 * 1024
+
 # Stated, so that naming a table starts no job to look for its columns.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -49,17 +53,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _line_items_with_ends(
-    spark: SparkSession, sf_dir: str, nation: DataFrame | None = None
+    spark: SparkSession, sf_dir: str, nation: DataFrame | None = None, part: tuple[int, int] = (0, 1)
 ) -> DataFrame:
-    """Line items with their order and customer.
+    """Line items with their order and customer; those of one of so many parts, by order key.
 
     Line items lead every join, so that the side built or broadcast is always one of the
-    tables they refer to, never the line items. Adaptive execution splits a hot order
-    key, and broadcasts the orders where they turn out to be few.
+    tables they refer to, never the line items. Orders get their customer before, while
+    they are few, so that line items are moved once for both. Adaptive execution splits a
+    hot order key, and broadcasts the orders where they turn out to be few.
     """
-    items = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    ).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    items, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    number, parts = part
+    if parts > 1:
+        within = lambda key: F.pmod(F.xxhash64(key), F.lit(parts)) == number
+        items, orders = items.filter(within("l_orderkey")), orders.filter(within("o_orderkey"))
+    orders = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    items = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if nation is None:
         return items
     ends = nation.select(
@@ -133,10 +142,10 @@ def mixed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _line_items_with_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _line_items_with_all(spark: SparkSession, sf_dir: str, part: tuple[int, int] = (0, 1)) -> DataFrame:
     """Line items with all that a trip file is made of."""
     return (
-        _line_items_with_ends(spark, sf_dir)
+        _line_items_with_ends(spark, sf_dir, part=part)
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
@@ -212,25 +221,31 @@ def classed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").withColumn("html", html)
 
 
-def dealt_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dealt_items(spark: SparkSession, sf_dir: str, part: tuple[int, int] = (0, 1)) -> DataFrame:
     """Line items with all that a trip file is made of, gathered by quarter."""
     number = F.year("o_orderdate") * 4 + F.quarter("o_orderdate")
-    return _line_items_with_all(spark, sf_dir).withColumn("dealt_by_", number).hint("rebalance", "dealt_by_")
+    return _line_items_with_all(spark, sf_dir, part).withColumn("dealt_by_", number).hint("rebalance", "dealt_by_")
 
 
-def export_trips(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
+def export_trips(
+    spark: SparkSession, sf_dir: str, compression: str = "none", part_bytes: int = EXPORT_BYTES
+) -> str:
     """Write the trips as CSV files with headers, a folder per quarter.
 
     Rows are dealt while they are narrow; texts and places are made of them afterwards.
+    Line items of more than ``part_bytes`` are exported in parts, one after the other.
     """
-    path = fresh_path(spark, "trip-files")
-    (
-        _trip_columns(dealt_items(spark, sf_dir))
-        .write.option("header", True)
-        .option("compression", compression)
-        .partitionBy("quarter")
-        .csv(path)
-    )
+    path = working_path(spark, "trip-files")
+    parts = max(1, -(-size(spark, f"{sf_dir}/lineitem.parquet") // part_bytes))
+    for number in range(parts):
+        (
+            _trip_columns(dealt_items(spark, sf_dir, (number, parts)))
+            .write.mode("append")
+            .option("header", True)
+            .option("compression", compression)
+            .partitionBy("quarter")
+            .csv(path)
+        )
     return path
 
 
@@ -258,7 +273,7 @@ def recent_files(folder: str) -> str:
 
 def export_stations(stations: DataFrame) -> str:
     """Write a station table as CSV without header."""
-    path = fresh_path(stations.sparkSession, "station-files")
+    path = working_path(stations.sparkSession, "station-files")
     stations.write.csv(path)
     return path
 

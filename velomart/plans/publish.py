@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from velomart import workspace
 from velomart.functions.checksum import checksum
-from velomart.plans.mart import build_mart_from_folder
+from velomart.plans.mart import land_mart_from_folder
 from velomart.plans.reports import MONTHLY_PASS, REPORTS
 from velomart.plans.rollups import shared_reports
-from velomart.sinks.mart import write_mart
 from velomart.sinks.reports import Sink
 from velomart.sources.mart import read_mart
 
@@ -63,7 +62,6 @@ def publish_folder(
     written on the way are deleted at the end.
     """
     with workspace.scope(spark):
-        write_mart(
-            build_mart_from_folder(spark, folder, recent_files, station_header), mart
-        )
+        land_mart_from_folder(spark, folder, recent_files, mart, station_header)
+    with workspace.scope(spark):
         return run_all(read_mart(spark, mart), sink, pass_type)

@@ -12,12 +12,15 @@ from velomart.schema import MART
 # Beside the months of a mart; scans of the mart pass over such names.
 SUMMARY = "_summary"
 STALE = "_summary_stale"
+UNFINISHED = "_unfinished"
 
 _EXTREMES = "least int, greatest int, trips long, month_year date"
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     """Enriched trips with their month; filters on ``month_year`` prune folders."""
+    if workspace.exists(spark, f"{path}/{UNFINISHED}"):
+        raise ValueError(f"the mart at {path} was not written to its end")
     return spark.read.schema(MART).parquet(path)
 
 

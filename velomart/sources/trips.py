@@ -28,6 +28,10 @@ def trip_csv(spark: SparkSession, schema: T.StructType = TRIP_FILE, header: bool
     return _csv(spark, schema, header)
 
 
+# Bytes of trip files that are read as one part of a mart.
+PART_BYTES = 1 << 30
+
+
 def read_trips(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -57,6 +61,34 @@ def read_trips(
     return trips
 
 
+def trip_parts(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    by_kind: bool = False,
+    part_bytes: int = PART_BYTES,
+) -> list[DataFrame]:
+    """``read_trips`` in parts of whole files, in order of their paths, of about ``part_bytes``.
+
+    Each file is in one part; a larger file is a part of its own.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    if by_kind:
+        files = files.filter(file_kind(F.col("_metadata.file_name")) == "trips")
+    listed = files.select("_metadata.file_path", "_metadata.file_size").collect()
+    parts: list[list[str]] = []
+    room = 0
+    for path, length in sorted(map(tuple, listed)):
+        if not parts or length > room:
+            parts.append([])
+            room = part_bytes
+        parts[-1].append(path)
+        room -= length
+    trips = read_trips(spark, paths, by_kind=by_kind)
+    if len(parts) < 2:
+        return [trips]
+    return [trips.filter(F.col("_metadata.file_path").isin(part)) for part in parts]
+
+
 def read_stations(
     spark: SparkSession,
     paths: str | Sequence[str],

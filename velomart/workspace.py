@@ -39,6 +39,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def working_path(spark: SparkSession, name: str) -> str:
+    """The same for what is deleted at the end of a ``scope``, if one is open."""
+    path = fresh_path(spark, name)
+    if (working := _scope.get()) is not None:
+        working.append(path)
+    return path
+
+
 def _file_system(spark: SparkSession, path: str):
     """The file system of a path and the path as it knows it."""
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -56,6 +64,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(there)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files in a folder."""
+    files, there = _file_system(spark, path)
+    return files.getContentSummary(there).getLength()
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """An empty file."""
     files, there = _file_system(spark, path)
@@ -95,17 +109,36 @@ class Tables:
 _scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scope", default=None)
 
 
+#: Whether a query's shuffle files go when it ends; else they stay until the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within it, each query's shuffle files go when it ends, unless the session says if they do."""
+    if spark.conf.get(_CLEANUP, None) is not None:
+        yield
+        return
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP)
+
+
 @contextlib.contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Within it, tables of ``materialize`` are working tables: all are deleted at its end.
 
     For jobs whose results are written elsewhere before it ends. Scopes may be nested;
-    a table belongs to the innermost.
+    a table belongs to the innermost. Shuffle files of a query go when it ends, so that
+    the disk holds those of one query at a time.
     """
     paths: list[str] = []
     token = _scope.set(paths)
     try:
-        yield
+        with _shuffles_freed(spark):
+            yield
     finally:
         _scope.reset(token)
         for path in paths:
@@ -117,8 +150,6 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
     The table stays unless a ``scope`` is open, as the caller may read it at any time.
     """
-    path = fresh_path(df.sparkSession, name)
-    if (working := _scope.get()) is not None:
-        working.append(path)
+    path = working_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
