@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from velomart.llm import chains, lexicon, omh, quality, simple8b, text, tokens, toxicity, trie_join
-from velomart.llm.text import table
+from velomart.llm.text import Words, table
 from velomart.workspace import Tables, materialize
 
 SF = "/root/testdata/sf0.01"
@@ -231,3 +231,40 @@ def test_hashing_keeps_no_long_arrays_between_tasks():
     assert words.hashes[1] == words.hashes[-1] and len(set(words.hashes.tolist())) == 3
     held = [v for value in vars(text).values() for v in (value.values() if isinstance(value, dict) else [value])]
     assert sum(v.nbytes for v in held if isinstance(v, np.ndarray)) < 1 << 21
+
+
+def test_seeds_are_moved_packed_and_chosen_as_by_a_plain_search(spark):
+    """A row for each part of a slice, not for each seed; what is in them is what a plain search chooses."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{v}" for v in rng.integers(0, 9, n)) for n in (0, 3, 40, 900, 901)]
+    docs = spark.createDataFrame([(i % 4, t) for i, t in enumerate([*texts, None])], "doc_id long, text string").coalesce(1)
+    for k, window in ((6, 12), (4, 4), (3, 1), (2, 5)):
+        rows = chains.seeds(docs, k, window, parts=3).collect()
+        assert len(rows) == len({r["part"] for r in rows}) <= 3
+        batch = pa.RecordBatch.from_pydict({"rows": [bytes(r["rows"]) for r in rows]})
+        got = sorted(map(tuple, chains.unpacked(batch).T.tolist()))
+        want = set()
+        for i, text in enumerate([*texts, None]):
+            h, whole = Words(pa.array([text], pa.string())).shingles(k)
+            h, n = h.tolist(), int(whole.sum())
+            for x in range(n - window + 1):
+                at = min(range(x, x + window), key=lambda j: (h[j], j))
+                want.add((int(np.uint64(h[at]).astype(np.int64)), i % 4, at, i))
+        assert got == sorted(w[:3] for w in want)
+
+
+def test_every_text_is_aligned_once(spark, monkeypatch):
+    """Passages found along the way are kept, not made again from the same excerpts at the end."""
+    plain = chains._aligned
+    inputs = []
+    monkeypatch.setattr(chains, "_aligned", lambda docs, parts, *rest: inputs.append(parts.inputFiles()) or plain(docs, parts, *rest))
+    words = [f"w{i * 7919 % 1000}" for i in range(120)]
+    edited = [*words[:40], "other", *words[41:]]
+    docs = spark.createDataFrame(
+        [(1, " ".join(words)), (2, " ".join(edited)), (2, "another text of this document"), (2, " ".join(edited)), (3, None)], "doc_id long, text string"
+    )
+    got = [tuple(r) for r in chains.repeated_passages(docs).collect()]
+    assert len(inputs) == 2 and not set(inputs[0]) & set(inputs[1])
+    assert len(got) == 2 and len(set(got)) == 1 and got[0][:4] == (2, 1, 0, 120)
+    left = sorted((r[0], r[1] or "") for r in chains.without_repeats(docs).collect())
+    assert left == [(1, " ".join(words)), (2, ""), (2, ""), (2, "another text of this document"), (3, "")]
